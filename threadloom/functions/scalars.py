@@ -12,7 +12,8 @@ _ISO_SHAPE = (
     r"^\d{4}-\d{2}-\d{2}"
     r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 )
-_HOUR_ONLY = r"^(.{10}[T ]\d{2})(?=$|Z|[+-])"
+_NO_MINUTES = r"^(.{10}[T ]\d{2})(?=$|Z|[+-])"
+_NO_SECONDS = r"^(.{10}[T ]\d{2}:\d{2})(?=$|Z|[+-])"
 _BASIC_DATE = r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])"
 
 
@@ -29,8 +30,8 @@ def iso_to_timestamp(text: Column) -> Column:
     without one is taken in the session time zone.  Week dates are not read.
     """
     dashed = F.regexp_replace(text, _BASIC_DATE, "$1-$2-$3")
-    full = F.regexp_replace(F.regexp_replace(dashed, _HOUR_ONLY, "$1:00"), ",", ".")
-    return F.when(dashed.rlike(_ISO_SHAPE), F.try_to_timestamp(full))
+    full = F.regexp_replace(F.regexp_replace(dashed, _NO_MINUTES, "$1:00"), _NO_SECONDS, "$1:00")
+    return F.when(dashed.rlike(_ISO_SHAPE), F.try_to_timestamp(F.translate(full, ",", ".")))
 
 
 def timestamp_to_iso(ts: Column) -> Column:
