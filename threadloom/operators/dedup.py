@@ -36,6 +36,8 @@ def keep_last(
     (``WindowGroupLimit``), so a key that holds a third of all rows sends one
     row per input task.
     """
+    if unique_order and not order_by:
+        raise ValueError("unique_order needs order columns")
     keys = [key] if isinstance(key, str) else list(key)
     order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c.desc_nulls_last() for c in order_by]
     if not unique_order:

@@ -7,8 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
-def _prefixed(df: DataFrame, taken: Sequence[str], prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c if c in taken else c) for c in df.columns])
+_KEY = "_join_key"
+
+
+def _prefixed(
+    df: DataFrame, key: str, taken: Sequence[str], prefix: str, drop_key: bool = False
+) -> DataFrame:
+    """Rename colliding columns and copy (or move) the join key to a name of its own."""
+    kept = [c for c in df.columns if not (drop_key and c == key)]
+    names = {c: prefix + c if c in taken else c for c in kept}
+    clash = [n for c, n in names.items() if n != c and (n in taken or n in kept)]
+    if clash:
+        raise ValueError(f"choose another prefix, these columns exist twice: {', '.join(clash)}")
+    return df.select(F.col(key).alias(_KEY), *[F.col(c).alias(n) for c, n in names.items()])
 
 
 def with_children(
@@ -27,9 +38,8 @@ def with_children(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    renamed = _prefixed(children, parents.columns, prefix)
-    right = prefix + child_key if child_key in parents.columns else child_key
-    return parents.join(renamed, parents[parent_key] == renamed[right], how)
+    renamed = _prefixed(children, child_key, parents.columns, prefix)
+    return parents.join(renamed, parents[parent_key] == renamed[_KEY], how).drop(_KEY)
 
 
 def with_parent(
@@ -39,11 +49,12 @@ def with_parent(
     parent_key: str = "id",
     prefix: str = "post_",
 ) -> DataFrame:
-    """Each child with the columns of its parent, null where there is none."""
-    renamed = _prefixed(parents, children.columns, prefix)
-    right = prefix + parent_key if parent_key in children.columns else parent_key
-    joined = children.join(renamed, children[child_key] == renamed[right], "left")
-    return joined.drop(right)
+    """Each child with the columns of its parent, null where there is none.
+
+    The parent's key is left out: it repeats ``child_key``.
+    """
+    renamed = _prefixed(parents, parent_key, children.columns, prefix, drop_key=True)
+    return children.join(renamed, children[child_key] == renamed[_KEY], "left").drop(_KEY)
 
 
 def orphans(
@@ -53,8 +64,8 @@ def orphans(
     parent_key: str = "id",
 ) -> DataFrame:
     """Children whose parent is not in the parent table."""
-    keys = parents.select(F.col(parent_key).alias("_parent_key"))
-    return children.join(keys, children[child_key] == keys["_parent_key"], "left_anti")
+    keys = parents.select(F.col(parent_key).alias(_KEY))
+    return children.join(keys, children[child_key] == keys[_KEY], "left_anti")
 
 
 def known(df: DataFrame, table: DataFrame, key: str = "id") -> DataFrame:

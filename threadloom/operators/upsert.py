@@ -1,7 +1,8 @@
 """Keyed merges of a batch of updates into a base table.
 
-Each function first reduces the batch to the last row per key; with two rows
-for one key a join would multiply the base rows.
+Each function first reduces the batch to the last row per key in ``order_by``;
+with two rows for one key a join would multiply the base rows.  ``order_by=None``
+says that the keys of the batch are unique and saves that step.
 """
 
 from __future__ import annotations
@@ -14,13 +15,23 @@ from .dedup import keep_last
 from .sizing import fits_broadcast
 
 _NEW = "_update"
+Order = Sequence[str | Column] | None
+
+
+def latest_rows(
+    updates: DataFrame, key: str, order_by: Order = (), unique_order: bool = False
+) -> DataFrame:
+    """The rows of a batch that an upsert applies: one per key, none without a key."""
+    if order_by is None:
+        return updates.where(F.col(key).isNotNull())
+    return keep_last(updates, key, order_by, unique_order)
 
 
 def merge_columns(
     base: DataFrame,
     updates: DataFrame,
     key: str = "id",
-    order_by: Sequence[str | Column] = (),
+    order_by: Order = (),
     strategy: str = "auto",
     unique_order: bool = False,
 ) -> DataFrame:
@@ -37,7 +48,7 @@ def merge_columns(
 
     ``auto`` takes ``lookup`` when the batch fits the broadcast threshold.
     """
-    latest = keep_last(updates, key, order_by, unique_order)
+    latest = latest_rows(updates, key, order_by, unique_order)
     if strategy == "auto":
         strategy = "lookup" if fits_broadcast(latest) else "full_outer"
     columns = base.columns + [c for c in latest.columns if c not in base.columns]
@@ -66,11 +77,11 @@ def replace_rows(
     base: DataFrame,
     updates: DataFrame,
     key: str = "id",
-    order_by: Sequence[str | Column] = (),
+    order_by: Order = (),
     unique_order: bool = False,
 ) -> DataFrame:
     """Replace whole rows by key and add new ones; columns the batch lacks become null."""
-    latest = keep_last(updates, key, order_by, unique_order)
+    latest = latest_rows(updates, key, order_by, unique_order)
     kept = base.join(latest.select(key), key, "left_anti")
     return kept.unionByName(latest, allowMissingColumns=True).select(
         *base.columns, *[c for c in latest.columns if c not in base.columns]
@@ -81,7 +92,7 @@ def append_keep_last(
     base: DataFrame,
     updates: DataFrame,
     key: str = "id",
-    order_by: Sequence[str | Column] = (),
+    order_by: Order = (),
     base_is_unique: bool = False,
     unique_order: bool = False,
 ) -> DataFrame:
@@ -96,4 +107,4 @@ def append_keep_last(
     marked = base.withColumn("_batch", F.lit(0)).unionByName(
         updates.withColumn("_batch", F.lit(1)), allowMissingColumns=True
     )
-    return keep_last(marked, key, ["_batch", *order_by], unique_order).drop("_batch")
+    return keep_last(marked, key, ["_batch", *(order_by or ())], unique_order).drop("_batch")

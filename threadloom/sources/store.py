@@ -18,7 +18,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.filters import by_equality
-from ..operators.upsert import append_keep_last, merge_columns, replace_rows
+from ..operators.upsert import Order, append_keep_last, latest_rows, merge_columns, replace_rows
 from ..schemas import TABLES, relaxed, required
 from .files import file_format, read_files, write_files
 
@@ -143,38 +143,45 @@ class Store:
         self,
         table: str,
         batch: DataFrame,
-        order_by: Sequence[str | Column] = (),
+        order_by: Order = (),
         unique_order: bool = False,
     ) -> DataFrame:
         """The rows the table would hold after saving ``batch``."""
         unknown = [c for c in batch.columns if c not in self.schemas[table].names]
         if unknown:
             raise ValueError(f"columns not in {table}: {', '.join(unknown)}")
-        base = self.read(table)
         kinds = {f.name: f.dataType for f in self.schemas[table]}
         batch = batch.select(*[F.col(c).cast(kinds[c]).alias(c) for c in batch.columns])
-        if self.kind == "parquet":
+        version = self.version(table)
+        base = self.read(table, version=version)
+        if version is None:
+            # Nothing to merge with: the first save needs no join.
+            latest = latest_rows(batch, self.key, order_by, unique_order)
+            rows = base.limit(0).unionByName(latest, allowMissingColumns=True)
+        elif self.kind == "parquet":
             rows = merge_columns(base, batch, self.key, order_by, unique_order=unique_order)
-            rows = enforce_required(rows, required(self.schemas[table]), self.key)
         elif self.kind == "json":
             rows = replace_rows(base, batch, self.key, order_by, unique_order)
         else:
             rows = append_keep_last(
                 base, batch, self.key, order_by, base_is_unique=True, unique_order=unique_order
             )
+        if self.kind == "parquet":
+            rows = enforce_required(rows, required(self.schemas[table]), self.key)
         return rows.select(*self.schemas[table].names)
 
     def save(
         self,
         table: str,
         batch: DataFrame,
-        order_by: Sequence[str | Column] = (),
+        order_by: Order = (),
         unique_order: bool = False,
     ) -> int:
         """Upsert a batch and return the number of the new snapshot.
 
-        ``order_by`` tells which of several rows with one key is the last.  If
-        any row breaks a constraint, the whole batch fails and nothing changes.
+        ``order_by`` tells which of several rows with one key is the last; None
+        says that there are none.  If any row breaks a constraint, the whole
+        batch fails and nothing changes.
         """
         rows = self.merged(table, batch, order_by, unique_order)
         version = max(self._snapshots(table), default=0) + 1
