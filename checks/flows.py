@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from threadloom.operators.sizing import spread
 from threadloom.plans.clean import clean_comments, clean_posts
 from threadloom.plans.prepare import prepare_for_analysis
 from threadloom.plans.run import run

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from threadloom.operators.rank import comment_listing, listing
 from threadloom.operators.search import search
+from threadloom.operators.sizing import spread
 from threadloom.plans.collect import posts_with_comments
 from threadloom.sources.normalize import normalize_comments, normalize_posts
 
@@ -170,7 +171,7 @@ def bm25_sql(rank: str = "relevance", limit: int = 50) -> str:
 
 
 def document_search(spark, folder, sort_by):
-    docs = load(spark, folder, "documents").select("doc_id", "source", "text", "n_chars")
+    docs = spread(load(spark, folder, "documents").select("doc_id", "source", "text", "n_chars"))
     found = search(
         docs, QUERY, 50, sort_by, fields=["source", "text"], key="doc_id", created="doc_id", score="n_chars",
         comments="n_chars",

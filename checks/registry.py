@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from threadloom.operators.sizing import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -48,7 +50,8 @@ raw_posts AS (
 
 
 def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
-    joined = load(spark, folder, "documents").join(load(spark, folder, "labels"), "doc_id", "left")
+    documents = spread(load(spark, folder, "documents"))
+    joined = documents.join(load(spark, folder, "labels"), "doc_id", "left")
     return joined.selectExpr(
         "concat('p', doc_id) AS id",
         "concat('Notes from ', source, ' in ', lang) AS title",

@@ -114,7 +114,7 @@ def text_strip_urls(spark, folder):
 )
 def clean_several_fields(spark, folder):
     posts = raw_posts(spark, folder).select("id", "title", "selftext", "author")
-    return clean_fields(spread(posts), ["title", "selftext", "author"])
+    return clean_fields(posts, ["title", "selftext", "author"])
 
 
 @check("text_preview", "SELECT doc_id, substr(text, 1, 100) AS preview FROM documents")

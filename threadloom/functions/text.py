@@ -74,8 +74,12 @@ class TextOptions:
 
 
 def strip_urls(text: Column) -> Column:
-    """Drop runs that begin with ``http`` or ``www``, wherever they begin."""
-    return F.regexp_replace(text, URL_PATTERN, "")
+    """Drop runs that begin with ``http`` or ``www``, wherever they begin.
+
+    Most texts hold neither, and a substring test is far cheaper than a regex.
+    """
+    suspect = F.contains(text, F.lit("http")) | F.contains(text, F.lit("www"))
+    return F.when(suspect, F.regexp_replace(text, URL_PATTERN, "")).otherwise(text)
 
 
 def strip_punctuation(text: Column) -> Column:
@@ -93,7 +97,10 @@ def split_contractions(text: Column) -> Column:
     heads = "|".join(
         rf"{head}(?={tail}(?![{WORD}]))" for head, tail in CONTRACTIONS.values()
     )
-    return F.regexp_replace(text, rf"(?i)(?<![{WORD}])({heads})", "$1 ")
+    # The first letter is tested before the costlier look-behind.
+    first = "".join(sorted({word[0] for word in CONTRACTIONS}))
+    pattern = rf"(?=[{first}{first.upper()}])(?<![{WORD}])(?i:({heads}))"
+    return F.regexp_replace(text, pattern, "$1 ")
 
 
 def _characters(text: Column, options: TextOptions) -> Column:

@@ -31,12 +31,12 @@ def by_date(
     value = F.col(column)
     if isinstance(kind, T.StringType):
         value, kind = iso_to_timestamp(value), T.TimestampType()
-    condition = value.isNotNull()
+    # Comparisons reject nulls, so no separate test is needed.
     if start is not None:
-        condition &= value >= time_literal(start, kind)
+        df = df.where(value >= time_literal(start, kind))
     if end is not None:
-        condition &= value <= time_literal(end, kind)
-    return df.where(condition)
+        df = df.where(value <= time_literal(end, kind))
+    return df
 
 
 def by_score(
@@ -53,14 +53,12 @@ def by_score(
     if minimum is None and maximum is None:
         return df
     value = F.col(column)
-    condition = value.isNotNull()
+    fractional = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
     if minimum is not None:
-        condition &= value >= minimum
+        df = df.where(value >= minimum)
     if maximum is not None:
-        condition &= value <= maximum
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        condition &= ~F.isnan(value)
-    return df.where(condition)
+        df = df.where(value <= maximum)
+    return df.where(~F.isnan(value)) if fractional else df
 
 
 def by_expr(

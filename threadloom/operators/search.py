@@ -41,31 +41,35 @@ def bm25(
     if not terms:
         return posts.where(F.lit(False)).withColumn(RELEVANCE, F.lit(0.0))
     text = F.concat_ws(" ", *[F.col(f) for f in fields])
+    n = len(terms)
 
-    def counted(extra: Sequence[str]) -> DataFrame:
-        # The explicit second select keeps the tokens from being computed per term.
-        words = posts.select(*extra, tokens(text, options).alias("_words"))
+    def tokenized(*columns: str) -> DataFrame:
+        words = posts.select(*columns, tokens(text, options).alias("_words"))
         hits = F.filter("_words", lambda w: w.isin(terms))
-        sized = words.select(*extra, F.size("_words").alias("_length"), hits.alias("_hits"))
-        return sized.select(*extra, "_length", *[_times("_hits", t).alias(f"_tf{i}") for i, t in enumerate(terms)])
+        return words.select(*columns, F.size("_words").alias("_length"), hits.alias("_hits"))
 
-    n = len(terms)
-    figures = counted([]).agg(
+    counts = [_times("_hits", t).alias(f"tf{i}") for i, t in enumerate(terms)]
+    figures = tokenized().select("_length", *counts).agg(
         F.struct(
             F.count("*").alias("n"),
             F.avg("_length").alias("mean"),
-            *[F.count(F.when(F.col(f"_tf{i}") > 0, True)).alias(f"df{i}") for i in range(n)],
+            *[F.count(F.when(F.col(f"tf{i}") > 0, True)).alias(f"df{i}") for i in range(n)],
         ).alias("figures")
     )
-    scored = counted(posts.columns).where(
-        " OR ".join(f"_tf{i} > 0" for i in range(n))
-    ).withColumn("_figures", figures.scalar())
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("_length") / F.col("_figures.mean"))
+    # Exploding the matches drops rows without one.  A filter would be pushed
+    # below the projection and tokenise every text once more per condition.
+    match = F.when(F.size("_hits") > 0, F.array(F.struct("_length", *counts)))
+    scored = (
+        tokenized(*posts.columns)
+        .select(*posts.columns, F.explode(match).alias("_m"))
+        .withColumn("_f", figures.scalar())
+    )
+    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("_m._length") / F.col("_f.mean"))
     total = F.lit(0.0)
     for i in range(n):
-        seen = F.col(f"_figures.df{i}")
-        idf = F.log(F.lit(1.0) + (F.col("_figures.n") - seen + F.lit(0.5)) / (seen + F.lit(0.5)))
-        tf = F.col(f"_tf{i}").cast("double")
+        seen = F.col(f"_f.df{i}")
+        idf = F.log(F.lit(1.0) + (F.col("_f.n") - seen + F.lit(0.5)) / (seen + F.lit(0.5)))
+        tf = F.col(f"_m.tf{i}").cast("double")
         total = total + idf * tf * F.lit(k1 + 1) / (tf + norm)
     return scored.withColumn(RELEVANCE, total).select(*posts.columns, RELEVANCE)
 
