@@ -130,22 +130,31 @@ def stem_tokens(spark, folder):
 
 # The lemma table is read from the data: every word seen in the English benchmark
 # passages that ends in s is mapped to the word without it.
-@check(
-    "lemma_tokens",
-    f"""WITH words AS (SELECT DISTINCT unnest({tokens_sql('text')}) AS word FROM benchmark),
+LEMMA_SQL = f"""WITH words AS (SELECT DISTINCT unnest({tokens_sql('text')}) AS word FROM benchmark),
     lemmas AS (SELECT word, substr(word, 1, length(word) - 1) AS lemma FROM words
                WHERE word LIKE '%s' AND length(word) > 3),
     cleaned AS (SELECT doc_id, {tokens_sql('text')} AS ws FROM documents),
     placed AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM cleaned),
     changed AS (SELECT doc_id, string_agg(coalesce(lemma, p.word), ' ' ORDER BY pos) AS t
                 FROM placed p LEFT JOIN lemmas l ON p.word = l.word GROUP BY doc_id)
-    SELECT c.doc_id, coalesce(t, '') AS cleaned FROM cleaned c LEFT JOIN changed g ON c.doc_id = g.doc_id""",
-)
-def lemma_tokens(spark, folder):
+    SELECT c.doc_id, coalesce(t, '') AS cleaned FROM cleaned c LEFT JOIN changed g ON c.doc_id = g.doc_id"""
+
+
+def lemmatized(spark, folder, strategy):
     words = load(spark, folder, "benchmark").select(F.explode(tokens(F.col("text"))).alias("word")).distinct()
     lemmas = words.where("word LIKE '%s' AND length(word) > 3").selectExpr(
         "word", "substr(word, 1, length(word) - 1) AS lemma"
     )
     docs = spread(load(spark, folder, "documents").select("doc_id", "text"))
     cleaned = docs.select("doc_id", clean(F.col("text")).alias("cleaned"))
-    return lemmatize(cleaned, "cleaned", lemmas, key="doc_id")
+    return lemmatize(cleaned, "cleaned", lemmas, "doc_id", strategy)
+
+
+@check("lemma_tokens", LEMMA_SQL)
+def lemma_tokens(spark, folder):
+    return lemmatized(spark, folder, "map")
+
+
+@check("lemma_tokens_join", LEMMA_SQL)
+def lemma_tokens_join(spark, folder):
+    return lemmatized(spark, folder, "join")

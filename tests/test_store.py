@@ -138,8 +138,9 @@ EXPECTED = {
 
 
 @pytest.mark.parametrize("fmt", FORMATS)
-def test_upsert(spark, fmt):
-    store = create_store(spark, fmt, work_path(spark, "up"), schemas={"notes": NOTES})
+@pytest.mark.parametrize("max_parts", [0, 1, 8])
+def test_upsert(spark, fmt, max_parts):
+    store = create_store(spark, fmt, work_path(spark, "up"), schemas={"notes": NOTES}, max_parts=max_parts)
     first = spark.createDataFrame([("a", "kept", 1), ("b", "B", 2)], "id string, body string, score int")
     second = spark.createDataFrame([("a", 4), ("a", 5), ("c", 7)], "id string, score int")
     store.save("notes", first)
@@ -149,12 +150,24 @@ def test_upsert(spark, fmt):
     assert store.version("notes") == 3
     assert values(store.read("notes", {"score": 2}), "id") == [("b",)]
     assert store.read("notes", version=1).count() == 2
-    store.forget("notes", keep=1)
-    assert sorted(store._snapshots("notes")) == [3]
+    store.forget("notes")
+    assert len(store._folders("notes")) == {0: 1, 1: 1, 8: 3}[max_parts]
+    assert values(store.read("notes"), "id", "body", "score") == EXPECTED[fmt]
     with pytest.raises(ValueError):
         store.save("notes", second.withColumn("odd", F.lit(1)))
 
 
+def test_small_batch_does_not_rewrite_the_table(spark):
+    store = create_store(spark, "table", work_path(spark, "parts"), schemas={"notes": NOTES})
+    many = spark.range(1000).selectExpr("CAST(id AS STRING) AS id", "'b' AS body", "CAST(id AS INT) AS score")
+    store.save("notes", many, order_by=None)
+    number = store.save("notes", spark.createDataFrame([("7", -1), ("new", 1)], "id string, score int"))
+    part = spark.read.parquet(f"{store.root}/notes/{store._folders('notes')[number]}")
+    assert values(part, "id", "body", "score") == [("7", "b", -1), ("new", None, 1)]
+    assert store.read("notes").count() == 1001
+    assert values(store.read("notes", {"score": -1}), "id") == [("7",)]
+
+
 def test_first_save_has_one_row_per_key(spark):
     store = create_store(spark, "csv", work_path(spark, "dup"), schemas={"notes": NOTES})
     store.save("notes", spark.createDataFrame([("a", 1), ("a", 2)], "id string, score int"), order_by=["score"])

@@ -1,8 +1,7 @@
 """Porter stemming (Porter 1980) of token arrays.
 
 ``porter`` is the per-word helper.  ``stem_tokens`` applies it inside Arrow
-batches: each batch is dictionary-encoded so that a word is stemmed once per
-batch however often it occurs, and no row is shuffled.
+batches, where a word is stemmed once per batch; no row is shuffled.
 """
 
 from __future__ import annotations
@@ -10,9 +9,10 @@ from __future__ import annotations
 import functools
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import functions as F, types as T
 
+from .arrow import map_words
+
 # Suffix tables of the published algorithm, tried in this order.
 _STEP_2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
@@ -151,10 +151,4 @@ def porter(word: str) -> str:
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_tokens(words: pa.Array) -> pa.Array:
     """Stem every token of an array column."""
-    encoded = words.flatten().dictionary_encode()
-    stems = pa.array([porter(w) for w in encoded.dictionary.to_pylist()], pa.string())
-    lengths = pc.fill_null(pc.list_value_length(words), 0)
-    offsets = pa.concat_arrays(
-        [pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())]
-    )
-    return pa.ListArray.from_arrays(offsets, stems.take(encoded.indices), mask=words.is_null())
+    return map_words(words, porter)

@@ -75,10 +75,15 @@ def post_rank(
     return ranking.controversial(*ranking.votes(s, F.col(ratio)))
 
 
-def top_rows(df: DataFrame, rank: Column, key: str = "id", limit: int | None = None) -> DataFrame:
+def top_rows(
+    df: DataFrame, rank: Column, key: str = "id", limit: int | None = None, ordered: bool = True
+) -> DataFrame:
     """Rows by rank, greatest first, equal ranks by key; with a limit no full sort happens."""
-    ordered = df.withColumn(RANK, rank).orderBy(F.col(RANK).desc_nulls_last(), F.col(key).asc())
-    return ordered if limit is None else ordered.limit(limit)
+    ranked = df.withColumn(RANK, rank)
+    if limit is None and not ordered:
+        return ranked
+    ranked = ranked.orderBy(F.col(RANK).desc_nulls_last(), F.col(key).asc())
+    return ranked if limit is None else ranked.limit(limit)
 
 
 def listing(
@@ -91,6 +96,7 @@ def listing(
     created: str = "created_utc",
     after: tuple | None = None,
     before: tuple | None = None,
+    ordered: bool = True,
     **columns,
 ) -> DataFrame:
     """The first ``limit`` posts of a ranking.
@@ -109,7 +115,7 @@ def listing(
             further = (rank < value) if behind else (rank > value)
             beside = (F.col(key) > last) if behind else (F.col(key) < last)
             posts = posts.where(further | ((rank == value) & beside))
-    return top_rows(posts, rank, key, limit)
+    return top_rows(posts, rank, key, limit, ordered)
 
 
 def comment_order(
@@ -168,14 +174,17 @@ def comment_listing(
     sort_by: str = "best",
     limit: int | None = None,
     post: str = "post_id",
+    ordered: bool = True,
     **columns,
 ) -> DataFrame:
     """Comments in listing order per post, at most ``limit`` of each post.
 
     Without a limit this is a sort on (post, rank): range partitioning can cut
-    through one hot post, which a window per post could not.
+    through one hot post, which a window per post could not.  A caller that
+    does not need the order, only the choice of rows, saves the sort with
+    ``ordered=False``.
     """
     order = comment_order(sort_by, **columns)
     if limit is not None:
         comments = first_per_group(comments, post, order, limit)
-    return comments.orderBy(F.col(post), *order)
+    return comments.orderBy(F.col(post), *order) if ordered else comments

@@ -2,45 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ..functions.arrow import map_words
+from .sizing import fits_broadcast
+
+MAP_ROWS = 500_000
 
 
 def lemmatize(
-    df: DataFrame, column: str, lemmas: DataFrame, key: str = "id"
+    df: DataFrame, column: str, lemmas: DataFrame, key: str = "id", strategy: str = "auto"
 ) -> DataFrame:
     """Replace each blank-separated word of ``column`` by its lemma.
 
-    Words without a lemma are kept, null text stays null.  ``key`` must be
-    unique per row.  Only ``(key, distinct word of the text)`` takes part in
-    the look-up, never the other columns, and only words that have a lemma come
-    back, so the shuffle back to the rows carries replacements rather than
-    texts.  Spark broadcasts the lemma table when it is below the session's
-    threshold and joins by sort-merge (with skew splitting) beyond it.
+    Words without a lemma are kept, null text stays null; of several lemmas for
+    a word the least counts.  Two plans give the same texts:
+
+    ``map``
+        the lemma table is sent to the executors and looked up in Arrow
+        batches; nothing is shuffled.  The table passes through the driver like
+        any broadcast table, so one of more than ``MAP_ROWS`` words is joined.
+    ``join``
+        for a table of any size; ``key`` must then be unique per row.
+
+    ``auto`` takes ``map`` when the lemma table fits the broadcast threshold.
+    """
+    if strategy == "auto":
+        strategy = "map" if fits_broadcast(lemmas) else "join"
+    useful = lemmas.where("word IS NOT NULL AND lemma IS NOT NULL AND word <> lemma")
+    table = useful.groupBy("word").agg(F.min("lemma").alias("lemma"))
+    if strategy not in ("map", "join"):
+        raise ValueError(f"unknown strategy: {strategy}")
+    if strategy == "map":
+        pairs = table.limit(MAP_ROWS + 1).collect()
+        if len(pairs) <= MAP_ROWS:
+            return _by_map(df, column, dict(pairs))
+    return _by_join(df, column, table, key)
+
+
+def _by_map(df: DataFrame, column: str, pairs: dict[str, str]) -> DataFrame:
+    lemma_of = df.sparkSession.sparkContext.broadcast(pairs)
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def look_up(words: pa.Array) -> pa.Array:
+        known = lemma_of.value
+        return map_words(words, lambda word: known.get(word, word))
+
+    return df.withColumn(column, F.array_join(look_up(F.split(F.col(column), " ")), " "))
+
+
+def _by_join(df: DataFrame, column: str, table: DataFrame, key: str) -> DataFrame:
+    """Look up the distinct words of each text by a join.
+
+    Only ``(key, word)`` pairs take part, never the other columns, and only
+    words that have a lemma come back to the rows.
     """
-    table = lemmas.select(F.col("word"), F.col("lemma")).where(
-        F.col("word").isNotNull() & F.col("lemma").isNotNull() & (F.col("word") != F.col("lemma"))
-    )
-    # One lemma per word, so that the join cannot multiply rows.
-    table = table.groupBy("word").agg(F.min("lemma").alias("lemma"))
     words = df.where(F.col(key).isNotNull()).select(
         F.col(key), F.explode(F.array_distinct(F.split(F.col(column), " "))).alias("word")
     )
+    pairs = F.collect_list(F.struct("word", "lemma"))
     found = (
         words.join(table, "word")
         .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
+        .agg(F.map_from_entries(pairs).alias("_lemmas"))
     )
     replaced = F.array_join(
         F.transform(
             F.split(F.col(column), " "),
-            lambda w: F.coalesce(F.element_at(F.col("_lemmas"), w), w),
+            lambda word: F.coalesce(F.try_element_at(F.col("_lemmas"), word), word),
         ),
         " ",
     )
-    return (
-        df.join(found, key, "left")
-        .withColumn(
-            column, F.when(F.col("_lemmas").isNull(), F.col(column)).otherwise(replaced)
-        )
-        .select(*df.columns)
-    )
+    text = F.when(F.col("_lemmas").isNull(), F.col(column)).otherwise(replaced)
+    return df.join(found, key, "left").withColumn(column, text).select(*df.columns)

@@ -27,9 +27,13 @@ def posts_with_comments(
     comment_limit: int | None = None,
     comment_sort: str = "best",
     as_of: dt.datetime | None = None,
+    ordered: bool = True,
 ) -> Discussion:
-    """A listing of posts and, per listed post, its comments in listing order."""
-    listed = listing(posts, sort_by, time_filter, limit, as_of).drop(RANK)
+    """A listing of posts and, per listed post, its comments in listing order.
+
+    ``ordered=False`` keeps the choice of rows but promises no order.
+    """
+    listed = listing(posts, sort_by, time_filter, limit, as_of, ordered=ordered).drop(RANK)
     keys = listed.select(F.col("id").alias("post_id"))
     own = comments.join(keys, "post_id", "left_semi")
-    return Discussion(listed, comment_listing(own, comment_sort, comment_limit))
+    return Discussion(listed, comment_listing(own, comment_sort, comment_limit, ordered=ordered))

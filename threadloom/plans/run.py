@@ -44,9 +44,11 @@ def run(
         time_filter,
         sort_by,
         as_of=as_of,
+        ordered=False,
     )
     posts, comments = found.posts, found.comments
-    if min_score is not None or clean_text:
+    cleaned = min_score is not None or clean_text
+    if cleaned:
         shared = {
             "min_score": min_score,
             "options": TextOptions.switched(clean_text),
@@ -59,6 +61,7 @@ def run(
         path = work_path(spark, table)
         write_files(rows, "parquet", path)
         batch = spark.read.parquet(path)
-        store.save(table, batch, order_by=order_by)
+        # Cleaning has left one row per key already.
+        store.save(table, batch, order_by=None if cleaned else order_by)
         report[table] = reconcile(batch, store.read(table), store.key)
     return report

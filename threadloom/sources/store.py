@@ -1,11 +1,16 @@
 """A store of posts and comments with atomic keyed upserts.
 
-Every save writes a complete new snapshot ``<root>/<table>/v<number>`` and
-leaves the current one alone.  Spark's ``_SUCCESS`` marker commits it, so a
-failed or interrupted save leaves the previous state visible, and a reader is
-never disturbed by a writer.  The way a batch is merged depends on the format:
-tables merge by column, JSON replaces whole rows, CSV appends and keeps the
-last row.
+Every save writes one new folder below ``<root>/<table>`` and leaves the others
+alone: ``full-<number>`` holds the whole table, ``part-<number>`` only the rows a
+batch changed or added, complete with all columns.  Spark's ``_SUCCESS`` marker
+commits a folder, so a failed or interrupted save leaves the previous state
+visible, and a reader is never disturbed by a writer.  The current table is the
+newest full folder with its later parts laid over it by key; saving a small
+batch into a large table therefore writes the batch, not the table.  A table has one
+writer at a time.
+
+The way a batch is merged depends on the format: tables merge by column, JSON
+replaces whole rows, CSV appends and keeps the last row.
 """
 
 from __future__ import annotations
@@ -17,8 +22,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.dedup import keep_last
 from ..operators.filters import by_equality
-from ..operators.upsert import Order, append_keep_last, latest_rows, merge_columns, replace_rows
+from ..operators.relate import known
+from ..operators.upsert import Order, latest_rows, merge_columns, replace_rows
 from ..schemas import TABLES, relaxed, required
 from .files import file_format, read_files, write_files
 
@@ -62,7 +69,8 @@ class Store:
 
     ``schemas`` maps table names to schemas and may replace the default pair.
     Field nullability is the NOT NULL constraint of a table format; JSON and
-    CSV stores hold whatever they are given.
+    CSV stores hold whatever they are given.  After ``max_parts`` part folders
+    the next save writes the whole table again; 0 does so on every save.
     """
 
     def __init__(
@@ -72,6 +80,7 @@ class Store:
         root: str,
         key: str = "id",
         schemas: Mapping[str, T.StructType] | None = None,
+        max_parts: int = 8,
     ):
         self.spark = spark
         self.fmt = fmt.lower()
@@ -79,39 +88,42 @@ class Store:
         self.root = root.rstrip("/")
         self.key = key
         self.schemas = dict(schemas or TABLES)
+        self.max_parts = max_parts
 
-    # Snapshots ---------------------------------------------------------------
+    # Folders -----------------------------------------------------------------
 
-    def _folder(self, table: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
 
-    def _snapshots(self, table: str) -> dict[int, bool]:
-        """Snapshot numbers on disk, each with whether it is committed."""
-        fs, folder = self._folder(table)
-        if not fs.exists(folder):
-            return {}
-        child = self.spark._jvm.org.apache.hadoop.fs.Path
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    def _folders(self, table: str, committed: bool = True) -> dict[int, str]:
+        """Folder names on disk by number."""
+        top = self._path(table)
+        fs = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
         return {
-            int(n[1:]): fs.exists(child(f"{self.root}/{table}/{n}/_SUCCESS"))
-            for n in names
-            if n[:1] == "v" and n[1:].isdigit()
+            int(name.partition("-")[2]): name
+            for name in names
+            if name.startswith(("full-", "part-"))
+            and (not committed or fs.exists(self._path(table, name, "_SUCCESS")))
         }
 
     def version(self, table: str) -> int | None:
-        """The newest committed snapshot, None when nothing was ever saved."""
-        return max((n for n, done in self._snapshots(table).items() if done), default=None)
-
-    def path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:08d}"
-
-    def forget(self, table: str, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` committed snapshots."""
-        fs, _ = self._folder(table)
-        done = sorted(n for n, ok in self._snapshots(table).items() if ok)
-        for number in done[: max(len(done) - keep, 0)]:
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table, number)), True)
+        """The number of the newest committed folder, None when nothing was ever saved."""
+        return max(self._folders(table), default=None)
+
+    def _layers(self, table: str, version: int | None) -> list[str]:
+        """Folders that make up a version: a full one and the parts after it."""
+        done = {n: name for n, name in self._folders(table).items() if version is None or n <= version}
+        base = max((n for n, name in done.items() if name.startswith("full-")), default=None)
+        return [] if base is None else [done[n] for n in sorted(done) if n >= base]
+
+    def forget(self, table: str) -> None:
+        """Delete the folders that the current version does not need."""
+        needed = self._layers(table, None)
+        for name in self._folders(table).values():
+            if name not in needed:
+                path = self._path(table, name)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     # Reading -----------------------------------------------------------------
 
@@ -122,14 +134,26 @@ class Store:
         on_unknown: str = "raise",
         version: int | None = None,
     ) -> DataFrame:
-        """The current rows that equal every given filter; a table never saved is empty."""
-        version = self.version(table) if version is None else version
+        """The rows that equal every given filter; a table never saved is empty."""
+        layers = self._layers(table, version)
+        return by_equality(self._rows(table, layers), filters, on_unknown)
+
+    def _rows(self, table: str, layers: Sequence[str]) -> DataFrame:
         schema = relaxed(self.schemas[table])
-        if version is None:
-            rows = self.spark.createDataFrame([], schema)
-        else:
-            rows = read_files(self.spark, self.kind, self.path(table, version), schema)
-        return by_equality(rows, filters, on_unknown)
+        if not layers:
+            return self.spark.createDataFrame([], schema)
+
+        def layer(name: str) -> DataFrame:
+            return read_files(self.spark, self.kind, f"{self.root}/{table}/{name}", schema)
+
+        rows, parts = layer(layers[0]), layers[1:]
+        if len(parts) == 1:
+            return replace_rows(rows, layer(parts[0]), self.key, order_by=None)
+        if parts:
+            numbered = [layer(p).withColumn("_layer", F.lit(i)) for i, p in enumerate(parts)]
+            newest = keep_last(reduce(DataFrame.unionByName, numbered), self.key, ["_layer"], True)
+            rows = replace_rows(rows, newest.drop("_layer"), self.key, order_by=None)
+        return rows
 
     def posts(self, filters: Mapping[str, Any] | None = None, **options) -> DataFrame:
         return self.read("posts", filters, **options)
@@ -139,36 +163,31 @@ class Store:
 
     # Writing -----------------------------------------------------------------
 
-    def merged(
+    def changes(
         self,
         table: str,
         batch: DataFrame,
         order_by: Order = (),
         unique_order: bool = False,
     ) -> DataFrame:
-        """The rows the table would hold after saving ``batch``."""
-        unknown = [c for c in batch.columns if c not in self.schemas[table].names]
+        """The rows a batch changes or adds, as they will be stored."""
+        schema = self.schemas[table]
+        unknown = [c for c in batch.columns if c not in schema.names]
         if unknown:
             raise ValueError(f"columns not in {table}: {', '.join(unknown)}")
-        kinds = {f.name: f.dataType for f in self.schemas[table]}
-        batch = batch.select(*[F.col(c).cast(kinds[c]).alias(c) for c in batch.columns])
-        version = self.version(table)
-        base = self.read(table, version=version)
-        if version is None:
-            # Nothing to merge with: the first save needs no join.
-            latest = latest_rows(batch, self.key, order_by, unique_order)
-            rows = base.limit(0).unionByName(latest, allowMissingColumns=True)
-        elif self.kind == "parquet":
-            rows = merge_columns(base, batch, self.key, order_by, unique_order=unique_order)
-        elif self.kind == "json":
-            rows = replace_rows(base, batch, self.key, order_by, unique_order)
+        typed = batch.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in batch.columns])
+        latest = latest_rows(typed, self.key, order_by, unique_order)
+        absent = [n for n in schema.names if n not in latest.columns]
+        layers = self._layers(table, None)
+        if self.kind == "parquet" and absent and layers:
+            # Only the columns a batch lacks have to be fetched from the table.
+            stored = self._rows(table, layers).select(self.key, *absent)
+            rows = merge_columns(known(stored, latest, self.key), latest, self.key, None)
         else:
-            rows = append_keep_last(
-                base, batch, self.key, order_by, base_is_unique=True, unique_order=unique_order
-            )
+            rows = latest.withColumns({n: F.lit(None).cast(schema[n].dataType) for n in absent})
         if self.kind == "parquet":
-            rows = enforce_required(rows, required(self.schemas[table]), self.key)
-        return rows.select(*self.schemas[table].names)
+            rows = enforce_required(rows, required(schema), self.key)
+        return rows.select(*schema.names)
 
     def save(
         self,
@@ -177,16 +196,21 @@ class Store:
         order_by: Order = (),
         unique_order: bool = False,
     ) -> int:
-        """Upsert a batch and return the number of the new snapshot.
+        """Upsert a batch and return the number of the folder written.
 
         ``order_by`` tells which of several rows with one key is the last; None
         says that there are none.  If any row breaks a constraint, the whole
         batch fails and nothing changes.
         """
-        rows = self.merged(table, batch, order_by, unique_order)
-        version = max(self._snapshots(table), default=0) + 1
-        write_files(rows, self.kind, self.path(table, version))
-        return version
+        rows = self.changes(table, batch, order_by, unique_order)
+        layers = self._layers(table, None)
+        whole = len(layers) > self.max_parts or not layers
+        if whole and layers:
+            rows = replace_rows(self._rows(table, layers), rows, self.key, order_by=None)
+        number = max(self._folders(table, committed=False), default=0) + 1
+        name = f"{'full' if whole else 'part'}-{number:08d}"
+        write_files(rows, self.kind, f"{self.root}/{table}/{name}")
+        return number
 
     def save_posts(self, batch: DataFrame, **options) -> int:
         return self.save("posts", batch, **options)
