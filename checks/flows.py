@@ -74,7 +74,8 @@ def prepared(spark, folder):
     posts AS (SELECT count(*) AS n FROM latest WHERE score >= 100),
     comments AS (SELECT count(*) AS n FROM raw_comments
                  WHERE score >= 100 AND post_id IN (SELECT id FROM crawled))
-    SELECT 'posts' AS tbl, n AS rows_expected, n AS rows_stored, 0 AS keys_missing, 0 AS keys_surplus FROM posts
+    SELECT 'posts' AS tbl, n AS rows_expected, n AS rows_stored, CAST(0 AS BIGINT) AS keys_missing,
+           CAST(0 AS BIGINT) AS keys_surplus FROM posts
     UNION ALL SELECT 'comments', n, n, 0, 0 FROM comments""",
 )
 def run_report(spark, folder):

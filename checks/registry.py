@@ -40,7 +40,7 @@ raw_posts AS (
   SELECT 'p' || d.doc_id AS id, 'Notes from ' || d.source || ' in ' || d.lang AS title,
          CASE WHEN l.toxic = 1 THEN NULL ELSE 'user-' || d.source END AS author,
          1700000000.0 + d.doc_id * 37.5 AS created_utc, CAST(d.n_chars AS INTEGER) AS score,
-         CASE l.quality WHEN 1 THEN 0.9 WHEN 0 THEN 0.6 END AS upvote_ratio,
+         CAST(CASE l.quality WHEN 1 THEN 0.9 WHEN 0 THEN 0.6 END AS DOUBLE) AS upvote_ratio,
          CAST(coalesce(l.quality, 0) AS INTEGER) AS num_comments,
          'https://' || d.source || '.example.org/' || d.doc_id AS url, d.text AS selftext,
          coalesce(l.quality, 0) = 1 AS is_self, '/' || d.source || '/' || d.doc_id AS permalink,

@@ -35,12 +35,12 @@ for _fmt in ("table", "json", "csv"):
         return store.read("orders")
 
 
-@check("store_filter", "SELECT doc_id, text FROM documents WHERE lang = 'de' AND source = 'src7'")
+@check("store_filter", "SELECT doc_id, text FROM documents WHERE lang = 'fr' AND source = 'src0'")
 def filtered_read(spark, folder):
     docs = load(spark, folder, "documents")
     store = Store(spark, "table", work_path(spark, "store-filter"), "doc_id", {"documents": schema_of(docs)})
     store.save("documents", docs, order_by=None)
-    return store.read("documents", {"lang": "de", "source": "src7"}).select("doc_id", "text")
+    return store.read("documents", {"lang": "fr", "source": "src0"}).select("doc_id", "text")
 
 
 @check(

@@ -87,6 +87,7 @@ def test_expr(frame):
     assert values(filters.by_expr(df, "i > 1"), "i") == [(2,), (3,)]
     assert values(filters.by_expr(df, F.col("i") == 1), "i") == [(1,)]
     assert values(filters.by_expr(df, lambda rows: rows["s"] == "b"), "i") == [(2,)]
+    assert values(filters.by_expr(df, lambda rows: rows["s"].isna(), ["s"]), "i") == [(3,)]
 
 
 def test_keywords_are_literal_substrings(frame):
@@ -132,6 +133,8 @@ def test_lemmas(frame, spark):
     from threadloom.functions.text import TextOptions
 
     df = frame([(1, "two geese and mice geese"), (2, None), (3, "plain"), (4, "")], "id int, t string")
+    from threadloom.operators.vocab import lemmatize
+
     lemmas = spark.createDataFrame(
         [("geese", "goose"), ("mice", "mouse"), ("geese", "zoose"), ("plain", "plain")], "word string, lemma string"
     )
@@ -140,6 +143,11 @@ def test_lemmas(frame, spark):
     assert values(got, "id", "t") == [
         (1, "two goose and mouse goose"), (2, None), (3, "plain"), (4, ""),
     ]
+    for strategy in ("map", "join"):
+        other = lemmatize(df, "t", lemmas, "id", strategy)
+        assert values(other, "id", "t") == values(got, "id", "t")
+    with pytest.raises(ValueError):
+        lemmatize(df, "t", lemmas, "id", "other")
     with pytest.raises(ValueError):
         clean_fields(df, ["t"], options)
 

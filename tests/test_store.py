@@ -10,7 +10,7 @@ from threadloom.plans.clean import clean_comments, clean_posts
 from threadloom.plans.prepare import prepare_for_analysis
 from threadloom.plans.run import run
 from threadloom.schemas import COMMENTS, POSTS, conform
-from threadloom.session import shared_dir, work_path
+from threadloom.session import shared_dir, size_shuffles, work_path
 from threadloom.sources.files import import_csv, import_json_array
 from threadloom.sources.normalize import normalize_comments, normalize_community, normalize_posts
 from threadloom.sources.store import create_store, reconcile, split_valid
@@ -263,6 +263,17 @@ def test_shared_folder_follows_the_session(spark):
     assert work_path(spark, "x").startswith(shared_dir(spark))
 
 
+def test_shuffles_are_sized_by_input(spark, table):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(table("documents")) == int(before)
+        unknown = spark.createDataFrame([(1,)], "i int")
+        assert size_shuffles(unknown) == int(before)
+        assert size_shuffles(table("documents"), per_task=1000) > int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 # Streaming -----------------------------------------------------------------------
 
 

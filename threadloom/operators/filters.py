@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 import pandas as pd
@@ -62,13 +62,16 @@ def by_score(
 
 
 def by_expr(
-    df: DataFrame, predicate: Column | str | Callable[[pd.DataFrame], pd.Series]
+    df: DataFrame,
+    predicate: Column | str | Callable[[pd.DataFrame], pd.Series],
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep rows for which a user predicate holds.
 
     A ``Column`` or SQL text stays inside Spark.  A function receives Arrow
     batches as a pandas frame and returns one boolean per row; use it only for
-    conditions that Spark functions cannot express.
+    conditions that Spark functions cannot express.  ``columns`` limits what is
+    sent to it.
     """
     if not callable(predicate) or isinstance(predicate, Column):
         return df.where(predicate)
@@ -78,7 +81,7 @@ def by_expr(
 
     decide.__annotations__ = {"rows": pd.DataFrame, "return": pd.Series}
     keep = F.pandas_udf(decide, T.BooleanType())
-    return df.where(keep(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return df.where(keep(F.struct(*[F.col(f"`{c}`") for c in columns or df.columns])))
 
 
 def by_keywords(df: DataFrame, keywords: list[str], column: str = "title") -> DataFrame:

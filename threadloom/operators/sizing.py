@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
+_UNKNOWN = 1 << 60
+
 
 def _bytes(text: str) -> int:
     number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", text).groups()
@@ -16,11 +18,16 @@ def _bytes(text: str) -> int:
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, or None where the session does not expose it."""
+    """Catalyst's size estimate, or None where there is none.
+
+    Rows from local Python objects have no known size, which Catalyst writes as
+    a number near the largest long.
+    """
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < _UNKNOWN else None
 
 
 def fits_broadcast(df: DataFrame) -> bool:

@@ -8,6 +8,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators.sizing import estimated_bytes
+
+MAX_SHUFFLE_PARTITIONS = 200_000
+
 # Left alone where the cluster or the caller already decided.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -15,6 +19,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints of intermediate results go away with the frames that need them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -35,6 +41,23 @@ def get_spark(app_name: str = "threadloom", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def size_shuffles(*scans: DataFrame, per_task: int = 200 << 20) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to fit tables of this size.
+
+    Each shuffle task should hold about ``per_task`` bytes so that it sorts in
+    memory; adaptive execution merges partitions that turn out small.  Give it
+    plain table scans: the size estimate of a join is only an upper bound.  The
+    setting is never lowered.
+    """
+    spark = scans[0].sparkSession
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    largest = max(estimated_bytes(df) or 0 for df in scans)
+    # Columnar files unpack to a few times their size in a shuffle.
+    wanted = max(current, min(-(-3 * largest // per_task), MAX_SHUFFLE_PARTITIONS))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
