@@ -168,6 +168,35 @@ def test_small_batch_does_not_rewrite_the_table(spark):
     assert values(store.read("notes", {"score": -1}), "id") == [("7",)]
 
 
+def test_parts_are_gathered(spark):
+    """Small batches into a large table are summed; only a large share rewrites it."""
+    store = create_store(spark, "table", work_path(spark, "sums"), schemas={"notes": NOTES}, max_parts=2)
+    many = spark.range(200_000).selectExpr("CAST(id AS STRING) AS id", "CAST(uuid() AS STRING) AS body")
+    store.save("notes", many, order_by=None)
+    kinds = []
+    for i in range(7):
+        batch = spark.createDataFrame([("7", i), (f"new{i}", i)], "id string, score int")
+        number = store.save("notes", batch)
+        kinds.append(store._folders("notes")[number].partition("-")[0])
+        assert store.read("notes").count() == 200_001 + i
+        assert store.read("notes", {"id": "7"}).first().score == i
+    assert kinds == ["part", "part", "sum", "part", "sum", "part", "sum"]
+    assert values(store.read("notes", {"score": 2}), "id") == [("new2",)]
+    large = many.where("id < '6'").withColumn("score", F.lit(5))
+    kinds = [store._folders("notes")[store.save("notes", large, None)].partition("-")[0] for _ in range(2)]
+    assert kinds == ["part", "full"]
+    assert store.read("notes").count() == 200_007
+
+
+def test_damaged_files_are_errors(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('[{"id": "a", "score": 1}, {"id": ')
+    with pytest.raises(Exception):
+        import_json_array(spark, str(tmp_path / "bad.json"), NOTES).collect()
+    (tmp_path / "bad.csv").write_text("id,score\na,notanumber\n")
+    with pytest.raises(Exception):
+        import_csv(spark, str(tmp_path / "bad.csv"), NOTES).collect()
+
+
 def test_first_save_has_one_row_per_key(spark):
     store = create_store(spark, "csv", work_path(spark, "dup"), schemas={"notes": NOTES})
     store.save("notes", spark.createDataFrame([("a", 1), ("a", 2)], "id string, score int"), order_by=["score"])

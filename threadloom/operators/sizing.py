@@ -7,14 +7,14 @@ import re
 
 from pyspark.sql import DataFrame
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-
+_POWERS = {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}
 _UNKNOWN = 1 << 60
 
 
 def _bytes(text: str) -> int:
+    """A Spark size setting such as ``10485760b``, ``10m`` or ``1gb`` in bytes."""
     number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", text).groups()
-    return int(number) * _UNITS[unit.lower()]
+    return int(number) << _POWERS[unit.lower()[:1]]
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

@@ -20,7 +20,9 @@ _CSV = {
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": _TIME,
 }
-_READ = {"json": {}, "csv": {**_CSV, "multiLine": "true"}, "parquet": {}}
+# A damaged file is an error; the default mode would read it as nulls.
+_STRICT = {"mode": "FAILFAST"}
+_READ = {"json": _STRICT, "csv": {**_CSV, **_STRICT, "multiLine": "true"}, "parquet": {}}
 _WRITE = {
     "json": {"timestampFormat": _TIME, "ignoreNullFields": "true"},
     # Texts contain line breaks, so a CSV file cannot be split by a reader:
@@ -57,7 +59,7 @@ def import_json_array(spark: SparkSession, path: str, schema: T.StructType) -> D
     Such a file cannot be split, so one task parses it; convert large
     collections to a store (JSON Lines or Parquet) once.
     """
-    return spark.read.schema(relaxed(schema)).json(path, multiLine=True)
+    return spark.read.schema(relaxed(schema)).json(path, multiLine=True, mode="FAILFAST")
 
 
 def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -66,6 +68,7 @@ def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     Columns are taken by header name, in any order.
     """
     kinds = {f.name: f.dataType for f in schema}
-    names = spark.read.csv(path, header=True, escape='"', multiLine=True).columns
+    reader = spark.read.options(header=True, escape='"', multiLine=True, mode="FAILFAST")
+    names = reader.csv(path).columns
     header = T.StructType([T.StructField(n, kinds.get(n, T.StringType()), True) for n in names])
-    return spark.read.schema(header).csv(path, header=True, escape='"', multiLine=True)
+    return reader.schema(header).csv(path)

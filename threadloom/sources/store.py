@@ -1,13 +1,13 @@
 """A store of posts and comments with atomic keyed upserts.
 
 Every save writes one new folder below ``<root>/<table>`` and leaves the others
-alone: ``full-<number>`` holds the whole table, ``part-<number>`` only the rows a
-batch changed or added, complete with all columns.  Spark's ``_SUCCESS`` marker
-commits a folder, so a failed or interrupted save leaves the previous state
-visible, and a reader is never disturbed by a writer.  The current table is the
-newest full folder with its later parts laid over it by key; saving a small
-batch into a large table therefore writes the batch, not the table.  A table has one
-writer at a time.
+alone.  ``full-<number>`` holds the whole table, ``part-<number>`` only the rows a
+batch changed or added, complete with all columns, and ``sum-<number>`` all rows
+changed since the full folder.  Spark's ``_SUCCESS`` marker commits a folder, so
+a failed or interrupted save leaves the previous state visible, and a reader is
+never disturbed by a writer.  The current table is the newest full folder with
+the later ones laid over it by key; saving a small batch into a large table
+therefore writes the batch, not the table.  A table has one writer at a time.
 
 The way a batch is merged depends on the format: tables merge by column, JSON
 replaces whole rows, CSV appends and keeps the last row.
@@ -69,8 +69,11 @@ class Store:
 
     ``schemas`` maps table names to schemas and may replace the default pair.
     Field nullability is the NOT NULL constraint of a table format; JSON and
-    CSV stores hold whatever they are given.  After ``max_parts`` part folders
-    the next save writes the whole table again; 0 does so on every save.
+    CSV stores hold whatever they are given.
+
+    After ``max_parts`` parts the next save gathers them into one sum, or, when
+    they have grown beyond a quarter of the full folder, writes the whole table
+    again.  With ``max_parts=0`` every save writes the whole table.
     """
 
     def __init__(
@@ -93,37 +96,47 @@ class Store:
     # Folders -----------------------------------------------------------------
 
     def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+        """A Hadoop path below the root and the file system it lives in."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def _folders(self, table: str, committed: bool = True) -> dict[int, str]:
         """Folder names on disk by number."""
-        top = self._path(table)
-        fs = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, top = self._path(table)
         names = [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
         return {
             int(name.partition("-")[2]): name
             for name in names
-            if name.startswith(("full-", "part-"))
-            and (not committed or fs.exists(self._path(table, name, "_SUCCESS")))
+            if name.startswith(("full-", "sum-", "part-"))
+            and (not committed or fs.exists(self._path(table, name, "_SUCCESS")[1]))
         }
 
+    def _bytes(self, table: str, names: Sequence[str]) -> int:
+        found = (self._path(table, name) for name in names)
+        return sum(fs.getContentSummary(path).getLength() for fs, path in found)
+
     def version(self, table: str) -> int | None:
         """The number of the newest committed folder, None when nothing was ever saved."""
         return max(self._folders(table), default=None)
 
     def _layers(self, table: str, version: int | None) -> list[str]:
-        """Folders that make up a version: a full one and the parts after it."""
-        done = {n: name for n, name in self._folders(table).items() if version is None or n <= version}
-        base = max((n for n, name in done.items() if name.startswith("full-")), default=None)
-        return [] if base is None else [done[n] for n in sorted(done) if n >= base]
+        """Folders that make up a version, oldest first: full, then sum, then parts."""
+        done = [n for n in sorted(self._folders(table).items()) if version is None or n[0] <= version]
+        layers: list[str] = []
+        for _, name in done:
+            if name.startswith("full-"):
+                layers = [name]
+            elif layers:
+                layers = [layers[0], name] if name.startswith("sum-") else [*layers, name]
+        return layers
 
     def forget(self, table: str) -> None:
         """Delete the folders that the current version does not need."""
         needed = self._layers(table, None)
         for name in self._folders(table).values():
             if name not in needed:
-                path = self._path(table, name)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                fs, path = self._path(table, name)
+                fs.delete(path, True)
 
     # Reading -----------------------------------------------------------------
 
@@ -143,17 +156,23 @@ class Store:
         if not layers:
             return self.spark.createDataFrame([], schema)
 
-        def layer(name: str) -> DataFrame:
-            return read_files(self.spark, self.kind, f"{self.root}/{table}/{name}", schema)
+        base = self._layer(table, layers[0])
+        if len(layers) == 1:
+            return base
+        return replace_rows(base, self._newest(table, layers[1:]), self.key, order_by=None)
+
+    def _layer(self, table: str, name: str) -> DataFrame:
+        schema = relaxed(self.schemas[table])
+        return read_files(self.spark, self.kind, f"{self.root}/{table}/{name}", schema)
 
-        rows, parts = layer(layers[0]), layers[1:]
-        if len(parts) == 1:
-            return replace_rows(rows, layer(parts[0]), self.key, order_by=None)
-        if parts:
-            numbered = [layer(p).withColumn("_layer", F.lit(i)) for i, p in enumerate(parts)]
-            newest = keep_last(reduce(DataFrame.unionByName, numbered), self.key, ["_layer"], True)
-            rows = replace_rows(rows, newest.drop("_layer"), self.key, order_by=None)
-        return rows
+    def _newest(self, table: str, names: Sequence[str], *more: DataFrame) -> DataFrame:
+        """The rows of several layers, the later layer winning per key."""
+        layers = [*(self._layer(table, n) for n in names), *more]
+        if len(layers) == 1:
+            return layers[0]
+        numbered = [df.withColumn("_layer", F.lit(i)) for i, df in enumerate(layers)]
+        together = reduce(DataFrame.unionByName, numbered)
+        return keep_last(together, self.key, ["_layer"], unique_order=True).drop("_layer")
 
     def posts(self, filters: Mapping[str, Any] | None = None, **options) -> DataFrame:
         return self.read("posts", filters, **options)
@@ -204,12 +223,19 @@ class Store:
         """
         rows = self.changes(table, batch, order_by, unique_order)
         layers = self._layers(table, None)
-        whole = len(layers) > self.max_parts or not layers
-        if whole and layers:
+        later = layers[1:]
+        if not layers:
+            kind = "full"
+        elif self.max_parts and len(later) < self.max_parts:
+            kind = "part"
+        elif self.max_parts and 4 * self._bytes(table, later) < self._bytes(table, layers[:1]):
+            kind = "sum"
+            rows = self._newest(table, later, rows)
+        else:
+            kind = "full"
             rows = replace_rows(self._rows(table, layers), rows, self.key, order_by=None)
         number = max(self._folders(table, committed=False), default=0) + 1
-        name = f"{'full' if whole else 'part'}-{number:08d}"
-        write_files(rows, self.kind, f"{self.root}/{table}/{name}")
+        write_files(rows, self.kind, f"{self.root}/{table}/{kind}-{number:08d}")
         return number
 
     def save_posts(self, batch: DataFrame, **options) -> int:
