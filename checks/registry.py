@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.operators.sizing import spread
+from threadloom.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +21,7 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(query: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return query(spark, folder)
+            return query(ship(spark), folder)
 
         QUERIES[name] = run
         if sql is not None:

@@ -25,7 +25,7 @@ from .plans.clean import clean_comments, clean_posts
 from .plans.collect import posts_with_comments
 from .plans.prepare import extract_features, prepare_for_analysis, prepare_for_ml
 from .plans.run import run
-from .session import get_spark, size_shuffles
+from .session import get_spark, ship, size_shuffles
 from .sources.normalize import normalize_comments, normalize_community, normalize_posts
 from .sources.store import Store, create_store, reconcile
 from .streaming.flow import clean_stream, upsert_stream

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -12,6 +14,8 @@ from .operators.sizing import estimated_bytes
 
 MAX_SHUFFLE_PARTITIONS = 200_000
 
+_shipped: set[str] = set()
+
 # Left alone where the cluster or the caller already decided.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -38,7 +42,25 @@ def get_spark(app_name: str = "threadloom", master: str | None = None, **conf: s
         settings.setdefault("spark.ui.enabled", "false")
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, whose Python workers import it for stemming.
+
+    Needed once per application, and not at all where the package is installed
+    on every machine.  Call it before the first stemming or look-up.
+    """
+    package = pathlib.Path(__file__).resolve().parent
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        folder = tempfile.mkdtemp(prefix="threadloom-package-")
+        archive = shutil.make_archive(
+            f"{folder}/{package.name}", "zip", root_dir=package.parent, base_dir=package.name
+        )
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(application)
+    return spark
 
 
 def size_shuffles(*scans: DataFrame, per_task: int = 200 << 20) -> int:
