@@ -97,3 +97,9 @@ def test_hot_post_listing(hot):
     listing = tl.comment_listing(hot.withColumn("score", F.col("n")), "top", 1500, created="n")
     got = listing.where("post_id = 'hot'").collect()
     assert [r.n for r in got] == sorted((r.n for r in got), reverse=True) and len(got) == 1000
+
+
+def test_adaptive_execution_splits_the_hot_post(spark, hot, posts):
+    joined = tl.with_children(posts, hot)
+    assert len(joined.collect()) == 3000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
