@@ -79,7 +79,6 @@ def by_expr(
     def decide(rows: pd.DataFrame) -> pd.Series:
         return predicate(rows).astype("boolean")
 
-    decide.__annotations__ = {"rows": pd.DataFrame, "return": pd.Series}
     keep = F.pandas_udf(decide, T.BooleanType())
     return df.where(keep(F.struct(*[F.col(f"`{c}`") for c in columns or df.columns])))
 
