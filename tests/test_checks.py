@@ -4,6 +4,7 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry_points
+from checks import QUERIES
 from checks.compare import compare, connect
 
 
@@ -12,7 +13,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     good, note = compare(spark, con, SF, name)
     assert good, note
