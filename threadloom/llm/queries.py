@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship
-from . import chat, sharding, urls
+from . import bpe, chat, language, secrets, sharding, urls
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,3 +143,34 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in random order over 24 shards of equal row counts."""
     return sharding.shard_documents(load(spark, folder, "documents"))
+
+
+# --- 1, 2, 3: operators that read each text by itself
+
+
+@register("op1_bpe")
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    outputs = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode(load(spark, folder, "documents"), TOKENIZER, outputs, keep=("doc_id",))
+
+
+@register("op2_secrets")
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document."""
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs).drop("text")
+    kinds = [rule.kind for rule in secrets.BASE]
+    return found.select(
+        "doc_id",
+        *[F.expr(f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS BIGINT) AS n_{k}") for k in kinds],
+        F.sha2(secrets.span_text("spans", kinds).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_text("spans").alias("spans"),
+    )
+
+
+@register("op3_language")
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learnt from the rows that are not held out."""
+    docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
