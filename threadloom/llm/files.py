@@ -9,17 +9,23 @@ import tempfile
 import numpy as np
 
 
+_shared: set[tuple[str, str]] = set()
+
+
 def share(spark, content: bytes, label: str) -> str:
     """Ship ``content`` through ``addFile``; executors that join later get it as well.
 
     Returns the name to give to ``SparkFiles.get``.  It holds a hash of the
-    content, so equal content is shipped under one name.
+    content; equal content is shipped once in an application.
     """
     name = f"{label}-{hashlib.sha256(content).hexdigest()[:24]}"
+    if (key := (spark.sparkContext.applicationId, name)) in _shared:
+        return name
     path = os.path.join(tempfile.mkdtemp(prefix="threadloom-"), name)
     with open(path, "wb") as out:
         out.write(content)
     spark.sparkContext.addFile(path)
+    _shared.add(key)
     return name
 
 
