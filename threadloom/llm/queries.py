@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship
-from . import bpe, chat, language, secrets, sharding, urls
+from . import bpe, chat, decontaminate, language, secrets, sharding, simhash, urls
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -174,3 +174,18 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learnt from the rows that are not held out."""
     docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
     return language.identify(docs).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+# --- 4, 7: near duplicates and benchmark passages
+
+
+@register("op4_simhash")
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(load(spark, folder, "documents"))
+
+
+@register("op7_decontaminate")
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and benchmark item that has a passage in it."""
+    return decontaminate.leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
