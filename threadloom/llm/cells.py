@@ -15,11 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-UNIT_COLUMNS = ("_low", "_high", "_chunk")
-
-
 def units(members: DataFrame, cell: str, node: str, block: int = 2048) -> DataFrame:
-    """``members`` (one row per cell and node) dealt to units and sorted by unit.
+    """``members`` (one row per cell and node) with the units that each row belongs to.
 
     Adds _low and _high, the unit's chunks, and _chunk, the row's own.  Cells of
     one member are dropped before the join, which is the only place where whole
@@ -32,14 +29,18 @@ def units(members: DataFrame, cell: str, node: str, block: int = 2048) -> DataFr
         "_chunk", F.pmod(F.xxhash64(node, F.lit(11)), F.col("_chunks")).cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
-    spread = placed.withColumn("_other", other).select(
+    return placed.withColumn("_other", other).select(
         *members.columns,
         F.least("_chunk", "_other").alias("_low"),
         F.greatest("_chunk", "_other").alias("_high"),
         "_chunk",
     )
+
+
+def deal(rows: DataFrame, cell: str) -> DataFrame:
+    """Rows of ``units`` with each unit in one task, in one piece."""
     key = [cell, "_low", "_high"]
-    return spread.repartition(*key).sortWithinPartitions(*key)
+    return rows.repartition(*key).sortWithinPartitions(*key)
 
 
 def grouped(batches: Iterable[pa.RecordBatch], cell: str, most_rows: int = 65_536) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -74,9 +75,6 @@ def grouped(batches: Iterable[pa.RecordBatch], cell: str, most_rows: int = 65_53
             yield table, cut(table)
 
 
-Compare = Callable[[np.ndarray, np.ndarray], np.ndarray]
-
-
 def forest(count: int, linked: Callable[[int], np.ndarray]) -> np.ndarray:
     """For each of ``count`` members the smallest member it is connected to.
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ship
-from . import bpe, chat, decontaminate, language, secrets, sharding, simhash, urls
+from . import bpe, chat, decontaminate, language, lattice, secrets, sharding, simhash, urls, wordpiece
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -189,3 +189,19 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and benchmark item that has a passage in it."""
     return decontaminate.leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+# --- 5, 6: embeddings and token counts
+
+
+@register("op5_embeddings")
+def op5_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return lattice.near_vectors(load(spark, folder, "embeddings"))
+
+
+@register("op6_token_counts")
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Word-piece lengths of every document."""
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    return wordpiece.count_tokens(docs, *wordpiece.vocabulary(TOKENIZER)).drop("text")

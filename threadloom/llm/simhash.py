@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut_lineage
 from .batches import pieces, texts
-from .cells import forest, grouped, units
+from .cells import deal, forest, grouped, units
 from .components import components
 
 BITS = 64
@@ -93,7 +93,7 @@ def links(distinct: DataFrame, radius: int = 3, block: int = 2048) -> DataFrame:
             left, right = _edges(fps, np.append(starts, len(fps)), radius)
             yield pa.RecordBatch.from_arrays([pa.array(left.view(np.int64)), pa.array(right.view(np.int64))], names=["a", "b"])
 
-    dealt = units(keyed, "cell", "fp", block)
+    dealt = deal(units(keyed, "cell", "fp", block), "cell")
     return dealt.mapInArrow(run, "a long, b long")
 
 
