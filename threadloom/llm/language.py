@@ -210,11 +210,13 @@ def identify(
     table gives an empty result, columns named like the added ones are
     replaced.  Nothing is shuffled but the sums of the sample.
     """
-    spark = docs.sparkSession
-    model = Model(training_sample(docs, label, text, sample_bytes))
-    content, layout = model.packed()
-    file, languages, size = share(spark, content, "language"), model.languages, model.size
     kept = [c for c in docs.columns if c not in (name, score)]
+    sample = training_sample(docs, label, text, sample_bytes)
+    if not sample:
+        return docs.select(*kept, F.lit(UNDETERMINED).alias(name), F.lit(0.0).alias(score))
+    model = Model(sample)
+    content, layout = model.packed()
+    file, languages, size = share(docs.sparkSession, content, "language"), model.languages, model.size
     added = [T.StructField(name, T.StringType()), T.StructField(score, T.DoubleType())]
     schema = T.StructType([docs.schema[c] for c in kept] + added)
 
@@ -222,7 +224,7 @@ def identify(
         model = _worker(file, layout, languages, size)
         for piece in pieces(batches, text, 2 << 20):
             segment = texts(piece, text)
-            known = np.array([bool(languages) and any(map(str.isalpha, t)) for t in segment], bool)
+            known = np.array([any(map(str.isalpha, t)) for t in segment], bool)
             best, belief = np.zeros(len(segment), np.int64), np.zeros(len(segment))
             if known.any():
                 bits = model.code_lengths([t.encode("utf-8", "surrogatepass") for t in segment])

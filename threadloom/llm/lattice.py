@@ -123,7 +123,7 @@ def compared(rows: DataFrame, vec: str, least: float, per_table: int) -> DataFra
             columns = {c: table.column(c).to_numpy() for c in ("node", "cell", "copies", "_chunk", "_low", "_high")}
             flat, ends = _matrix(table.column(vec).chunk(0))
             own = table.column("cells").chunk(0)
-            cells = own.values.to_numpy().reshape(table.num_rows, -1) if table.num_rows else None
+            cells = own.flatten().to_numpy().reshape(table.num_rows, -1)
             found = []
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
                 unit = {c: v[a:b] for c, v in columns.items()}
