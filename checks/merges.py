@@ -100,3 +100,39 @@ def upsert_duplicate_keys(spark, folder):
     batch = events.select(F.col("user_id").alias("id"), "value", "event_type", "ts", "event_id")
     latest = keep_last(batch, "id", ["ts", "event_id"], unique_order=True).drop("ts", "event_id")
     return merge_columns(base, latest, "id")
+
+
+# A batch of wider types, with null and repeated keys: the base decides the types.
+WIDE_SQL = """WITH base AS (SELECT CAST(event_id AS INTEGER) AS id, CAST(floor(value + 0.5) AS INTEGER) AS score, event_type FROM events WHERE event_id % 3 = 0),
+     batch AS (
+       SELECT id, max_by(score, ts) AS score FROM (
+         SELECT CASE WHEN event_id % 7 > 0 THEN event_id // 2 END AS id, CAST(floor(value * 2 + 0.5) AS BIGINT) AS score, epoch_us(ts) * 1000 + event_id % 2 AS ts
+         FROM events) WHERE id IS NOT NULL GROUP BY id)
+     SELECT CAST(coalesce(a.id, b.id) AS INTEGER) AS id,
+       CAST(CASE WHEN b.id IS NULL THEN a.score ELSE b.score END AS INTEGER) AS score, a.event_type
+     FROM base a FULL OUTER JOIN batch b ON a.id = b.id"""
+
+
+def merge_wider(spark, folder, strategy):
+    events = load(spark, folder, "events")
+    base = events.where("event_id % 3 = 0").selectExpr("CAST(event_id AS INT) AS id", "CAST(floor(value + 0.5D) AS INT) AS score", "event_type")
+    batch = events.selectExpr(
+        "IF(event_id % 7 > 0, event_id DIV 2, NULL) AS id", "CAST(floor(value * 2 + 0.5D) AS BIGINT) AS score", "ts", "event_id % 2 AS odd"
+    )
+    latest = keep_last(batch, "id", ["ts", "odd"]).drop("ts", "odd")
+    return merge_columns(base, latest, "id", None, strategy)
+
+
+@check("upsert_wider_batch", WIDE_SQL)
+def upsert_wider_batch(spark, folder):
+    return merge_wider(spark, folder, "auto")
+
+
+@check("upsert_wider_batch_full", WIDE_SQL)
+def upsert_wider_batch_full(spark, folder):
+    return merge_wider(spark, folder, "full_outer")
+
+
+@check("upsert_wider_batch_lookup", WIDE_SQL)
+def upsert_wider_batch_lookup(spark, folder):
+    return merge_wider(spark, folder, "lookup")

@@ -147,7 +147,7 @@ def lemmatized(spark, folder, strategy):
     )
     docs = spread(load(spark, folder, "documents").select("doc_id", "text"))
     cleaned = docs.select("doc_id", clean(F.col("text")).alias("cleaned"))
-    return lemmatize(cleaned, "cleaned", lemmas, "doc_id", strategy)
+    return lemmatize(cleaned, "cleaned", lemmas, strategy)
 
 
 @check("lemma_tokens", LEMMA_SQL)
@@ -158,3 +158,27 @@ def lemma_tokens(spark, folder):
 @check("lemma_tokens_join", LEMMA_SQL)
 def lemma_tokens_join(spark, folder):
     return lemmatized(spark, folder, "join")
+
+
+# Rows without a key and repeated rows, under either plan that the size may choose.
+REPEATED_LEMMA_SQL = LEMMA_SQL.replace("SELECT c.doc_id, coalesce(t, '')", "SELECT CASE WHEN c.doc_id % 5 > 0 THEN c.doc_id // 2 END AS doc_id, coalesce(t, '')")
+
+
+def lemmatized_repeats(spark, folder, lemma_strategy="auto"):
+    words = load(spark, folder, "benchmark").select(F.explode(tokens(F.col("text"))).alias("word")).distinct()
+    lemmas = words.where("word LIKE '%s' AND length(word) > 3").selectExpr(
+        "word", "substr(word, 1, length(word) - 1) AS lemma"
+    )
+    docs = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    keyed = docs.select(F.expr("CASE WHEN doc_id % 5 > 0 THEN doc_id DIV 2 END AS doc_id"), clean(F.col("text")).alias("cleaned"))
+    return lemmatize(keyed, "cleaned", lemmas, lemma_strategy)
+
+
+@check("lemma_repeated_keys", REPEATED_LEMMA_SQL)
+def lemma_repeated_keys(spark, folder):
+    return lemmatized_repeats(spark, folder)
+
+
+@check("lemma_repeated_keys_join", REPEATED_LEMMA_SQL)
+def lemma_repeated_keys_join(spark, folder):
+    return lemmatized_repeats(spark, folder, "join")

@@ -144,10 +144,10 @@ def test_lemmas(frame, spark):
         (1, "two goose and mouse goose"), (2, None), (3, "plain"), (4, ""),
     ]
     for strategy in ("map", "join"):
-        other = lemmatize(df, "t", lemmas, "id", strategy)
+        other = lemmatize(df, "t", lemmas, strategy)
         assert values(other, "id", "t") == values(got, "id", "t")
     with pytest.raises(ValueError):
-        lemmatize(df, "t", lemmas, "id", "other")
+        lemmatize(df, "t", lemmas, "other")
     with pytest.raises(ValueError):
         clean_fields(df, ["t"], options)
 

@@ -36,7 +36,7 @@ def con():
     "name",
     [
         "upsert_merge_columns", "upsert_merge_columns_lookup", "upsert_replace", "upsert_append",
-        "lemma_tokens_join", "posts_with_comments", "comment_collection", "comment_parent", "known_keys",
+        "upsert_wider_batch", "lemma_tokens", "lemma_repeated_keys", "lemma_tokens_join", "posts_with_comments", "comment_collection", "comment_parent", "known_keys",
         "orphans", "comment_counts", "comment_tree", "post_features_by", "listed_discussions",
         "store_upsert_table", "search_bm25", "clean_posts",
     ],

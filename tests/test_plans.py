@@ -38,8 +38,8 @@ def test_stemming_does_not_shuffle(docs):
 
 def test_small_lemma_table_does_not_shuffle(spark, docs):
     lemmas = spark.sql("SELECT 'words' AS word, 'word' AS lemma")
-    assert "Exchange" not in plan(tl.lemmatize(docs, "text", lemmas, "doc_id"))
-    joined = plan(tl.lemmatize(docs, "text", lemmas, "doc_id", "join"))
+    assert "Exchange" not in plan(tl.lemmatize(docs, "text", lemmas))
+    joined = plan(tl.lemmatize(docs, "text", lemmas, "join"))
     assert "Python" not in joined
 
 

@@ -32,7 +32,6 @@ def clean_fields(
     fields: Iterable[str],
     options: TextOptions | None = None,
     lemmas: DataFrame | None = None,
-    key: str = "id",
 ) -> DataFrame:
     """Clean the named text columns in place; null stays null, absent names are skipped."""
     options = options or TextOptions()
@@ -44,7 +43,7 @@ def clean_fields(
     )
     if options.lemmatization:
         for name in present:
-            df = lemmatize(df, name, lemmas, key)
+            df = lemmatize(df, name, lemmas)
     return df
 
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
 from .dedup import keep_last
 from .sizing import fits_broadcast
 
@@ -38,20 +39,28 @@ def merge_columns(
     """Overwrite the columns the batch has, keep the others, insert new keys.
 
     A null in the batch overwrites; only a column the batch lacks is kept.  The
-    keys of ``base`` must be unique.  Two plans give the same rows:
+    keys of ``base`` must be unique.  Columns of the base keep their types,
+    whatever the types of the batch.  Two plans give the same rows:
 
     ``full_outer``
         one full outer join, which shuffles the base once;
     ``lookup``
         a left join for the updates plus anti-joined inserts.  Both look-ups
-        have the batch as their small side, so the base is not shuffled.
+        have the batch as their small side, so the base is not shuffled.  The
+        reduced batch is checkpointed first, so that it is computed once.
 
     ``auto`` takes ``lookup`` when the batch fits the broadcast threshold.
     """
     latest = latest_rows(updates, key, order_by, unique_order)
     if strategy == "auto":
         strategy = "lookup" if fits_broadcast(latest) else "full_outer"
+    if strategy not in ("full_outer", "lookup"):
+        raise ValueError(f"unknown strategy: {strategy}")
     columns = base.columns + [c for c in latest.columns if c not in base.columns]
+    kinds = {f.name: f.dataType for f in [*latest.schema, *base.schema]}
+    latest = latest.withColumns({c: F.col(c).cast(kinds[c]) for c in latest.columns})
+    if strategy == "lookup":
+        latest = cut_lineage(latest)
     packed = latest.select(key, F.struct(*latest.columns).alias(_NEW))
 
     def pick(name: str) -> Column:
@@ -60,13 +69,10 @@ def merge_columns(
         if name not in latest.columns:
             return F.col(name)
         kept = F.col(name) if name in base.columns else F.lit(None)
-        kind = base.schema[name].dataType if name in base.columns else latest.schema[name].dataType
-        return F.when(F.col(_NEW).isNotNull(), F.col(f"{_NEW}.{name}").cast(kind)).otherwise(kept).alias(name)
+        return F.when(F.col(_NEW).isNotNull(), F.col(f"{_NEW}.{name}")).otherwise(kept).alias(name)
 
     if strategy == "full_outer":
         return base.join(packed, key, "full_outer").select(*[pick(c) for c in columns])
-    if strategy != "lookup":
-        raise ValueError(f"unknown strategy: {strategy}")
     updated = base.join(packed, key, "left").select(*[pick(c) for c in columns])
     known = base.select(key).join(latest.select(key), key, "left_semi")
     inserted = latest.join(known, key, "left_anti")

@@ -11,34 +11,32 @@ from .sizing import fits_broadcast
 MAP_ROWS = 500_000
 
 
-def lemmatize(
-    df: DataFrame, column: str, lemmas: DataFrame, key: str = "id", strategy: str = "auto"
-) -> DataFrame:
+def lemmatize(df: DataFrame, column: str, lemmas: DataFrame, strategy: str = "auto") -> DataFrame:
     """Replace each blank-separated word of ``column`` by its lemma.
 
     Words without a lemma are kept, null text stays null; of several lemmas for
-    a word the least counts.  Two plans give the same texts:
+    a word the least counts.  Rows need no key and may repeat.  Two plans give
+    the same texts:
 
     ``map``
         the lemma table is sent to the executors and looked up in Arrow
         batches; nothing is shuffled.  The table passes through the driver like
-        any broadcast table, so one of more than ``MAP_ROWS`` words is joined.
+        any broadcast table, so one beyond the session's broadcast threshold or
+        of more than ``MAP_ROWS`` words is joined all the same.
     ``join``
-        for a table of any size; ``key`` must then be unique per row.
+        for a table of any size.
 
-    ``auto`` takes ``map`` when the lemma table fits the broadcast threshold.
+    ``auto`` is ``map`` where the table allows it.
     """
-    if strategy == "auto":
-        strategy = "map" if fits_broadcast(lemmas) else "join"
+    if strategy not in ("auto", "map", "join"):
+        raise ValueError(f"unknown strategy: {strategy}")
     useful = lemmas.where("word IS NOT NULL AND lemma IS NOT NULL AND word <> lemma")
     table = useful.groupBy("word").agg(F.min("lemma").alias("lemma"))
-    if strategy not in ("map", "join"):
-        raise ValueError(f"unknown strategy: {strategy}")
-    if strategy == "map":
+    if strategy != "join" and fits_broadcast(lemmas):
         pairs = table.limit(MAP_ROWS + 1).collect()
         if len(pairs) <= MAP_ROWS:
             return _by_map(df, column, dict(pairs))
-    return _by_join(df, column, table, key)
+    return _by_join(df, column, table)
 
 
 def _by_map(df: DataFrame, column: str, pairs: dict[str, str]) -> DataFrame:
@@ -52,20 +50,24 @@ def _by_map(df: DataFrame, column: str, pairs: dict[str, str]) -> DataFrame:
     return df.withColumn(column, F.array_join(look_up(F.split(F.col(column), " ")), " "))
 
 
-def _by_join(df: DataFrame, column: str, table: DataFrame, key: str) -> DataFrame:
-    """Look up the distinct words of each text by a join.
+def _by_join(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
+    """Look up the distinct words of each distinct text by a join.
 
-    Only ``(key, word)`` pairs take part, never the other columns, and only
-    words that have a lemma come back to the rows.
+    A text is named by its SHA-256, so equal texts are looked up once and the
+    rows need no key.  Only (digest, word) pairs take part, never the other
+    columns, and only words that have a lemma come back.  The rows are the left
+    side of the last join: adaptive execution splits a text that many rows share.
     """
-    words = df.where(F.col(key).isNotNull()).select(
-        F.col(key), F.explode(F.array_distinct(F.split(F.col(column), " "))).alias("word")
+    digest = F.unhex(F.sha2(F.col(column).cast("binary"), 256))
+    words = (
+        df.where(F.col(column).isNotNull())
+        .select(digest.alias("_digest"), F.explode(F.array_distinct(F.split(F.col(column), " "))).alias("word"))
+        .distinct()
     )
-    pairs = F.collect_list(F.struct("word", "lemma"))
     found = (
         words.join(table, "word")
-        .groupBy(key)
-        .agg(F.map_from_entries(pairs).alias("_lemmas"))
+        .groupBy("_digest")
+        .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
     )
     replaced = F.array_join(
         F.transform(
@@ -75,4 +77,4 @@ def _by_join(df: DataFrame, column: str, table: DataFrame, key: str) -> DataFram
         " ",
     )
     text = F.when(F.col("_lemmas").isNull(), F.col(column)).otherwise(replaced)
-    return df.join(found, key, "left").withColumn(column, text).select(*df.columns)
+    return df.join(found, digest == F.col("_digest"), "left").withColumn(column, text).select(*df.columns)

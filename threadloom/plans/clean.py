@@ -45,7 +45,7 @@ def clean_rows(
         df = step(by_date(df, created, start_date, end_date), "date")
     if min_score is not None:
         df = step(by_score(df, score, min_score), "score")
-    return clean_fields(df, text_fields, options, lemmas, key) if text_fields else df
+    return clean_fields(df, text_fields, options, lemmas) if text_fields else df
 
 
 def clean_posts(
