@@ -99,6 +99,56 @@ def filter_date_text(spark, folder):
     return filters.by_date(events, "seen", START, END)
 
 
+# The same moments in eight shapes of ISO text; the last one is no date.
+SHAPES_SQL = r"""SELECT event_id, CASE event_id % 8
+      WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+      WHEN 1 THEN strftime(ts, '%Y%m%dT%H%M%S.%f')
+      WHEN 2 THEN strftime(ts, '%G-W%V-%u %H:%M:%S.%f')
+      WHEN 3 THEN strftime(ts, '%GW%V%ux%H%M%S,%f')
+      WHEN 4 THEN strftime(ts, '%Y-%m-%d_%H%M%S.%f') || 'Z'
+      WHEN 5 THEN strftime(ts + INTERVAL 19815 SECONDS, '%Y-%m-%dT%H:%M:%S.%f') || '+05:30:15'
+      WHEN 6 THEN strftime(ts - INTERVAL 3 HOURS, '%Y%m%d#%H:%M:%S.%f') || '000-03'
+      ELSE strftime(ts, '%Y-%m-%d') || ' no time' END AS seen
+    FROM events"""
+
+
+@check(
+    "filter_date_shapes",
+    f"""SELECT s.event_id, s.seen, ts FROM ({SHAPES_SQL}) s JOIN events e ON s.event_id = e.event_id
+        WHERE s.event_id % 8 < 7 AND {BETWEEN}""",
+)
+def filter_date_shapes(spark, folder):
+    def fmt(shape, moment="ts"):
+        return f'date_format({moment}, "{shape}")'
+
+    week = "concat(extract(YEAROFWEEK FROM ts), '{}', lpad(extract(WEEK FROM ts), 2, '0'), '{}', extract(DOW_ISO FROM ts), '{}', {})"
+    shapes = [
+        fmt("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        fmt("yyyyMMdd'T'HHmmss.SSSSSS"),
+        week.format("-W", "-", " ", fmt("HH:mm:ss.SSSSSS")),
+        week.format("W", "", "x", fmt("HHmmss,SSSSSS")),
+        f"concat({fmt('yyyy-MM-dd_HHmmss.SSSSSS')}, 'Z')",
+        f"""concat({fmt("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ts + make_dt_interval(0, 5, 30, 15)")}, '+05:30:15')""",
+        f"""concat({fmt("yyyyMMdd'#'HH:mm:ss.SSSSSS", "ts - make_dt_interval(0, 3)")}, '000-03')""",
+    ]
+    cases = " ".join(f"WHEN {i} THEN {shape}" for i, shape in enumerate(shapes))
+    events = load(spark, folder, "events").selectExpr(
+        "event_id", f"CASE event_id % 8 {cases} ELSE concat({fmt('yyyy-MM-dd')}, ' no time') END AS seen"
+    )
+    kept = filters.by_date(events, "seen", START, END)
+    return kept.withColumn("ts", iso_to_timestamp(F.col("seen")).cast("timestamp_ntz"))
+
+
+@check("filter_equality_types", "SELECT event_id, event_type, value FROM events WHERE event_type = 'click' AND user_id = 3")
+def filter_equality_types(spark, folder):
+    """Values of another type match nothing and do not stop the job."""
+    events = load(spark, folder, "events")
+    kept = filters.by_equality(events, {"event_type": "click", "user_id": 3.0})
+    for given in ({"event_type": 7}, {"user_id": "3"}, {"value": "much"}, {"ts": 5}, {"ts": "never"}, {"user_id": 1 << 70}):
+        kept = kept.unionByName(filters.by_equality(events, given))
+    return kept.select("event_id", "event_type", "value")
+
+
 @check(
     "filter_score_range",
     "SELECT * FROM orders WHERE o_totalprice >= 1000.5 AND o_totalprice <= 250000",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F, types as T
 
 from threadloom.session import work_path
-from threadloom.sources.store import Store, reconcile
+from threadloom.sources.files import import_csv, import_json_array
+from threadloom.sources.store import Store, create_store, reconcile
 
 from .merges import MERGED_SQL, REPLACED_SQL, order_batch
 from .registry import check, load
@@ -51,3 +54,75 @@ def filtered_read(spark, folder):
 )
 def compared(spark, folder):
     return reconcile(load(spark, folder, "documents"), load(spark, folder, "labels"), "doc_id")
+
+
+# Times with microseconds and texts that look like a null mark survive every format.
+for _fmt in ("table", "json", "csv"):
+
+    @check(
+        f"store_roundtrip_events_{_fmt}",
+        r"""SELECT event_id, ts + to_microseconds(event_id % 1000000) AS ts, user_id, event_type, value,
+            CASE event_id % 4 WHEN 0 THEN '\N' WHEN 1 THEN '\\N' WHEN 2 THEN '' END AS note FROM events""",
+    )
+    def events_roundtrip(spark, folder, fmt=_fmt):
+        events = load(spark, folder, "events").selectExpr(
+            "event_id", "ts + make_dt_interval(0, 0, 0, (event_id % 1000000) / 1000000.0) AS ts", "user_id", "event_type", "value",
+            r"CASE event_id % 4 WHEN 0 THEN '\\N' WHEN 1 THEN '\\\\N' WHEN 2 THEN '' END AS note",
+        )
+        store = Store(spark, fmt, work_path(spark, f"events-{fmt}"), "event_id", {"events": schema_of(events, "event_id")})
+        store.save("events", events, order_by=None)
+        return store.read("events")
+
+
+@check("import_json_array", "SELECT doc_id, text, lang FROM documents")
+def json_array(spark, folder):
+    """Files that hold one JSON array each, as other tools write them."""
+    docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
+    path = work_path(spark, "arrays")
+    # One array per slice of the ids; a slice is as large as one file of such a tool.
+    slices = docs.groupBy((F.col("doc_id") % 16).alias("slice")).agg(F.collect_list(F.struct("doc_id", "text", "lang")).alias("rows"))
+    slices.select(F.to_json("rows").alias("value")).repartition(16).write.text(path)
+    return import_json_array(spark, path, docs.schema)
+
+
+@check("import_csv", "SELECT doc_id, text, lang FROM documents WHERE length(text) > 0")
+def foreign_csv(spark, folder):
+    """CSV files whose columns come in two orders."""
+    docs = load(spark, folder, "documents").select("doc_id", "text", "lang").where("length(text) > 0")
+    path = work_path(spark, "foreign")
+    for part, names in ((0, ["doc_id", "text", "lang"]), (1, ["lang", "doc_id", "text"])):
+        some = docs.where(F.col("doc_id") % 2 == part).select(*names)
+        some.write.csv(path, header=True, escape='"', quoteAll=True, mode="append")
+    return import_csv(spark, path, docs.schema)
+
+
+@check(
+    "store_empty",
+    """SELECT doc_id, text, lang, source, n_chars, 'none yet' AS state FROM documents WHERE false
+       UNION ALL SELECT *, 'saved' FROM documents""",
+)
+def empty_then_saved(spark, folder):
+    """A table never saved reads as empty; the read after the first save has all rows."""
+    docs = load(spark, folder, "documents")
+    store = Store(spark, "table", work_path(spark, "store-empty"), "doc_id", {"documents": schema_of(docs)})
+    before = store.read("documents").withColumn("state", F.lit("none yet"))
+    store.save("documents", docs, order_by=None)
+    return before.unionByName(store.read("documents").withColumn("state", F.lit("saved")))
+
+
+@check(
+    "create_store_names",
+    """SELECT name, kind, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars
+       FROM documents, (VALUES ('Table', 'parquet'), ('PARQUET', 'parquet'), ('sqlite', 'parquet'), ('JSON', 'json'), ('Csv', 'csv')) AS f(name, kind)
+       GROUP BY ALL""",
+)
+def store_names(spark, folder):
+    """Every name a store can be made by, in any case."""
+    docs = load(spark, folder, "documents").select("doc_id", "n_chars")
+    parts = []
+    for name in ("Table", "PARQUET", "sqlite", "JSON", "Csv"):
+        store = create_store(spark, name, work_path(spark, f"named-{name}"), key="doc_id", schemas={"documents": schema_of(docs)})
+        store.save("documents", docs, order_by=None)
+        parts.append(store.read("documents").select(F.lit(name).alias("name"), F.lit(store.kind).alias("kind"), "n_chars"))
+    together = reduce(lambda a, b: a.unionByName(b), parts)
+    return together.groupBy("name", "kind").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))

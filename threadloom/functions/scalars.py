@@ -7,14 +7,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F, types as T
 
-# Calendar date, then optionally hours[:minutes[:seconds[.fraction]]] and an offset.
-_ISO_SHAPE = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+# Date, then optionally any one character, a time and an offset; all but the date in extended or basic form.
+_ISO = (
+    r"(?s)^(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}-\d|\d{4}-W\d{2}|\d{4}W\d{3}|\d{4}W\d{2})"
+    r"(?:.(\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{2}(?:\d{2}(?:\d{2}(?:[.,]\d+)?)?)?)"
+    r"(Z|[+-]\d{2}(?::\d{2}(?::\d{2})?|\d{2}(?:\d{2})?)?)?)?$"
 )
-_NO_MINUTES = r"^(.{10}[T ]\d{2})(?=$|Z|[+-])"
-_NO_SECONDS = r"^(.{10}[T ]\d{2}:\d{2})(?=$|Z|[+-])"
-_BASIC_DATE = r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])"
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:
@@ -25,13 +23,37 @@ def epoch_to_timestamp(seconds: Column) -> Column:
 def iso_to_timestamp(text: Column) -> Column:
     """ISO-8601 text as a timestamp; null where the text is not a date.
 
-    The shape test comes first because Spark's own parser also accepts
-    fragments such as ``2024-01`` and padded text.  Offsets are honoured; text
-    without one is taken in the session time zone.  Week dates are not read.
+    Read are calendar dates and week dates (a week alone means its Monday), in
+    extended and basic form, any one character before the time, times down to
+    hours, fractions of any length (cut to microseconds), and offsets down to
+    seconds.  Text without an offset is taken in the session time zone.
     """
-    dashed = F.regexp_replace(text, _BASIC_DATE, "$1-$2-$3")
-    full = F.regexp_replace(F.regexp_replace(dashed, _NO_MINUTES, "$1:00"), _NO_SECONDS, "$1:00")
-    return F.when(dashed.rlike(_ISO_SHAPE), F.try_to_timestamp(F.translate(full, ",", ".")))
+    known = text.rlike(_ISO)
+    day, time, offset = (F.regexp_extract(text, _ISO, i) for i in (1, 2, 3))
+    digits = F.regexp_replace(day, "[-W]", "")
+    year = F.substring(digits, 1, 4).cast("int")
+    # Week 1 holds January 4th.
+    first = F.date_trunc("week", F.make_date(F.greatest(year, F.lit(1)), F.lit(1), F.lit(4))).cast("date")
+    week, weekday = F.substring(digits, 5, 2).cast("int"), F.substring(F.concat(digits, F.lit("1")), 7, 1).cast("int")
+    in_week = F.date_add(first, (week - 1) * 7 + weekday - 1)
+    real = week.between(1, 53) & weekday.between(1, 7) & (F.weekofyear(in_week) == week)
+    calendar = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
+    date = F.when(~day.contains("W"), calendar).when(real, in_week.cast("string"))
+    clock = F.regexp_replace(F.regexp_replace(time, "[.,].*$", ""), ":", "")
+    fraction = F.substring(F.concat(F.regexp_extract(time, "[.,](\\d+)$", 1), F.lit("000000")), 1, 6)
+    piece = lambda i: F.substring(F.concat(clock, F.lit("000000")), i, 2)
+    whole = F.concat(date, F.lit(" "), F.concat_ws(":", piece(1), piece(3), piece(5)), F.lit("."), fraction)
+    shift = F.rpad(F.regexp_replace(F.substring(offset, 2, 8), ":", ""), 6, "0")
+    part = lambda i: F.substring(shift, i, 2).cast("int")
+    seconds = F.when(offset.startswith("-"), -1).otherwise(1) * (part(1) * 3600 + part(3) * 60 + part(5))
+    zoned = F.try_to_timestamp(F.concat(whole, F.lit("Z"))) - F.make_dt_interval(secs=seconds)
+    utc = F.try_to_timestamp(F.concat(whole, F.lit("Z")))
+    valid = known & (year > 0)
+    return (
+        F.when(valid & (offset == ""), F.try_to_timestamp(whole))
+        .when(valid & (offset == "Z"), utc)
+        .when(valid & (part(1) < 24) & (part(3) < 60) & (part(5) < 60), zoned)
+    )
 
 
 def timestamp_to_iso(ts: Column) -> Column:

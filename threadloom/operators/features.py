@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -67,7 +69,10 @@ def post_features(posts: DataFrame, by: Sequence[str] = (), top: int = 10) -> Da
         )
     domains = _as_list(top_values(posts, "domain", top, by), "domain", by, "top_domains")
     if by:
-        return features.join(domains, list(by), "left")
+        # Null-safe: the group without a value has domains too.
+        named = domains.toDF(*[f"_by_{c}" if c in by else c for c in domains.columns])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+        return features.join(named, same, "left").select(*features.columns, "top_domains")
     # One row each: a scalar subquery adds the list without a join.
     return features.withColumn("top_domains", domains.scalar())
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -88,13 +89,41 @@ def by_keywords(df: DataFrame, keywords: list[str], column: str = "title") -> Da
     return df.where(contains_any(F.col(column), keywords))
 
 
+def _equals(column: Column, kind: T.DataType, value: Any) -> Column:
+    """Equality as between the values themselves: another type is another value.
+
+    Numbers and booleans compare with each other, texts with texts, times with
+    times and with ISO text.  The value becomes a literal of the column's kind,
+    so the filter reaches the scan and no row is cast.
+    """
+    never = F.lit(False)
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+        return column == F.lit(value) if isinstance(value, str) else never
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        try:
+            return column == time_literal(value, kind) if isinstance(value, (str, dt.date)) else never
+        except ValueError:
+            return never
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        if not isinstance(value, (bool, int, float, decimal.Decimal)) or value != value:
+            return never
+        if isinstance(kind, T.BooleanType):
+            return column == F.lit(bool(value)) if value in (0, 1) else never
+        if isinstance(value, (bool, int)):
+            value = int(value)
+            return column == F.lit(value) if -(1 << 63) <= value < 1 << 63 else never
+        return column == F.lit(value)
+    return column == F.lit(value)
+
+
 def by_equality(
     df: DataFrame, filters: Mapping[str, Any] | None, on_unknown: str = "raise"
 ) -> DataFrame:
     """Keep rows where every named column equals its value.
 
-    ``None`` asks for null.  A name that is no column raises by default and is
-    skipped with ``on_unknown="ignore"``.
+    ``None`` asks for null.  A value of another type than the column's matches
+    no row.  A name that is no column raises by default and is skipped with
+    ``on_unknown="ignore"``.
     """
     if on_unknown not in ("raise", "ignore"):
         raise ValueError(f"on_unknown must be 'raise' or 'ignore', not {on_unknown!r}")
@@ -104,12 +133,7 @@ def by_equality(
                 raise ValueError(f"unknown filter column: {name}")
             continue
         column = F.col(name)
-        if value is None:
-            df = df.where(column.isNull())
-        elif isinstance(value, dt.date):
-            df = df.where(column == time_literal(value, df.schema[name].dataType))
-        else:
-            df = df.where(column == F.lit(value))
+        df = df.where(column.isNull() if value is None else _equals(column, df.schema[name].dataType, value))
     return df
 
 

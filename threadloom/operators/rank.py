@@ -28,7 +28,7 @@ _NATIVE_GROUP_LIMIT = 1000
 
 def _choice(value: str, allowed: tuple[str, ...] | dict, what: str) -> str:
     if value not in allowed:
-        raise ValueError(f"Invalid {what} value: {value}")
+        raise ValueError(f"{what} cannot be {value!r}; choose from {', '.join(allowed)}")
     return value
 
 
@@ -86,6 +86,16 @@ def top_rows(
     return ranked if limit is None else ranked.limit(limit)
 
 
+def _beyond(rank: Column, key: Column, mark: tuple, behind: bool) -> Column:
+    """Rows behind (or ahead of) a mark in the order of ``top_rows``, unknown ranks last."""
+    value, last = mark
+    beside = key > F.lit(last) if behind else key < F.lit(last)
+    if value is None:
+        return rank.isNull() & beside if behind else rank.isNotNull() | beside
+    further = (rank < F.lit(value)) | rank.isNull() if behind else rank > F.lit(value)
+    return further | ((rank == F.lit(value)) & beside)
+
+
 def listing(
     posts: DataFrame,
     sort_by: str = "hot",
@@ -103,7 +113,8 @@ def listing(
 
     The time window applies to ``top`` and ``controversial`` only.  ``after``
     and ``before`` are ``(rank value, key)`` pairs of a row seen earlier and
-    select the page behind or ahead of it.
+    select the page right behind or right ahead of it; the value is None for a
+    row of unknown rank, which comes last.
     """
     _choice(time_filter, TIME_WINDOWS, "time_filter")
     rank = post_rank(posts, sort_by, as_of, created=created, **columns)
@@ -111,10 +122,11 @@ def listing(
         posts = within(posts, time_filter, as_of, created)
     for bound, behind in ((after, True), (before, False)):
         if bound is not None:
-            value, last = F.lit(bound[0]), F.lit(bound[1])
-            further = (rank < value) if behind else (rank > value)
-            beside = (F.col(key) > last) if behind else (F.col(key) < last)
-            posts = posts.where(further | ((rank == value) & beside))
+            posts = posts.where(_beyond(rank, F.col(key), bound, behind))
+    if before is not None and after is None and limit is not None:
+        # The page that ends at the mark: its rows come first in reverse order.
+        back = posts.withColumn(RANK, rank).orderBy(F.col(RANK).asc_nulls_first(), F.col(key).desc())
+        posts = back.limit(limit).drop(RANK)
     return top_rows(posts, rank, key, limit, ordered)
 
 

@@ -98,7 +98,7 @@ def search(
     posts inside the window.
     """
     if sort_by not in SEARCH_ORDERS:
-        raise ValueError(f"Invalid sort_by value: {sort_by}")
+        raise ValueError(f"sort_by cannot be {sort_by!r}; choose from {', '.join(SEARCH_ORDERS)}")
     posts = within(posts, time_filter, as_of, created)
     matches = bm25(posts, query, fields, options)
     if sort_by == "relevance":

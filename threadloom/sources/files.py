@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import relaxed
 
 # Store names and the file format behind each.
 FORMATS = {"table": "parquet", "parquet": "parquet", "sqlite": "parquet", "json": "json", "csv": "csv"}
 
-_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+_PLAIN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# Both kinds of timestamps keep their microseconds.
+_TIMES = {"timestampFormat": _PLAIN + "XXX", "timestampNTZFormat": _PLAIN}
 _CSV = {
     "header": "true",
     "escape": '"',
@@ -18,13 +22,13 @@ _CSV = {
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "timestampFormat": _TIME,
+    **_TIMES,
 }
 # A damaged file is an error; the default mode would read it as nulls.
 _STRICT = {"mode": "FAILFAST"}
-_READ = {"json": _STRICT, "csv": {**_CSV, **_STRICT, "multiLine": "true"}, "parquet": {}}
+_READ = {"json": {**_TIMES, **_STRICT}, "csv": {**_CSV, **_STRICT, "multiLine": "true"}, "parquet": {}}
 _WRITE = {
-    "json": {"timestampFormat": _TIME, "ignoreNullFields": "true"},
+    "json": {**_TIMES, "ignoreNullFields": "true"},
     # Texts contain line breaks, so a CSV file cannot be split by a reader:
     # bounding the rows per file bounds the work of one reading task.
     "csv": {**_CSV, "emptyValue": '""', "maxRecordsPerFile": "500000"},
@@ -37,7 +41,15 @@ def file_format(name: str) -> str:
     try:
         return FORMATS[name.lower()]
     except KeyError:
-        raise ValueError(f"Unsupported storage type: {name}") from None
+        raise ValueError(f"no file format is known as {name!r}") from None
+
+
+def _escaped(df: DataFrame, kind: str, pattern: str, change: str) -> DataFrame:
+    """A CSV field of nothing but ``\\N`` is null, so a text like that gets one more backslash."""
+    if kind != "csv":
+        return df
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({n: F.regexp_replace(F.col(f"`{n}`"), pattern, change) for n in texts})
 
 
 def read_files(
@@ -45,12 +57,14 @@ def read_files(
 ) -> DataFrame:
     """Read with an explicit schema: inference would turn an id ``1e5`` into a number."""
     kind = file_format(fmt)
-    return spark.read.format(kind).options(**_READ[kind]).schema(relaxed(schema)).load(paths)
+    rows = spark.read.format(kind).options(**_READ[kind]).schema(relaxed(schema)).load(paths)
+    return _escaped(rows, kind, r"^\\(\\+N)$", "$1")
 
 
 def write_files(df: DataFrame, fmt: str, path: str, mode: str = "errorifexists") -> None:
     kind = file_format(fmt)
-    df.write.format(kind).options(**_WRITE[kind]).mode(mode).save(path)
+    escaped = _escaped(df, kind, r"^(\\+N)$", r"\\$1")
+    escaped.write.format(kind).options(**_WRITE[kind]).mode(mode).save(path)
 
 
 def import_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -65,10 +79,23 @@ def import_json_array(spark: SparkSession, path: str, schema: T.StructType) -> D
 def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read CSV files written by other tools, where an empty field means null.
 
-    Columns are taken by header name, in any order.
+    Columns are taken by each file's own header, in any order; a column that a
+    file lacks is null there.  Columns outside ``schema`` are read as text.  The
+    headers cost one short job per file, and files with equal headers are read
+    together.
     """
     kinds = {f.name: f.dataType for f in schema}
     reader = spark.read.options(header=True, escape='"', multiLine=True, mode="FAILFAST")
-    names = reader.csv(path).columns
-    header = T.StructType([T.StructField(n, kinds.get(n, T.StringType()), True) for n in names])
-    return reader.schema(header).csv(path)
+    found = spark.read.text(path).inputFiles()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(found):
+        groups.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    if not groups:
+        return spark.createDataFrame([], relaxed(schema))
+
+    def load(names: tuple[str, ...], files: list[str]) -> DataFrame:
+        header = T.StructType([T.StructField(n, kinds.get(n, T.StringType()), True) for n in names])
+        return reader.schema(header).csv(files)
+
+    parts = [load(names, files) for names, files in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -133,8 +133,10 @@ class Store:
     def forget(self, table: str) -> None:
         """Delete the folders that the current version does not need."""
         needed = self._layers(table, None)
-        for name in self._folders(table).values():
-            if name not in needed:
+        newest = self.version(table) or 0
+        for number, name in self._folders(table, committed=False).items():
+            # A failed save leaves an uncommitted folder; one above the newest version may be in the making.
+            if name not in needed and number < newest:
                 fs, path = self._path(table, name)
                 fs.delete(path, True)
 
@@ -188,8 +190,13 @@ class Store:
         batch: DataFrame,
         order_by: Order = (),
         unique_order: bool = False,
+        keep_newer: bool = False,
     ) -> DataFrame:
-        """The rows a batch changes or adds, as they will be stored."""
+        """The rows a batch changes or adds, as they will be stored.
+
+        With ``keep_newer`` a stored row stays if its ``order_by`` values are
+        greater than the batch's, so late rows do not undo newer ones.
+        """
         schema = self.schemas[table]
         unknown = [c for c in batch.columns if c not in schema.names]
         if unknown:
@@ -198,6 +205,8 @@ class Store:
         latest = latest_rows(typed, self.key, order_by, unique_order)
         absent = [n for n in schema.names if n not in latest.columns]
         layers = self._layers(table, None)
+        if keep_newer and layers and order_by:
+            latest = self._not_older(table, layers, latest, order_by)
         if self.kind == "parquet" and absent and layers:
             # Only the columns a batch lacks have to be fetched from the table.
             stored = self._rows(table, layers).select(self.key, *absent)
@@ -208,12 +217,23 @@ class Store:
             rows = enforce_required(rows, required(schema), self.key)
         return rows.select(*schema.names)
 
+    def _not_older(self, table: str, layers: Sequence[str], latest: DataFrame, order_by: Sequence) -> DataFrame:
+        """The batch's rows without those older than the row that is stored for their key."""
+        order = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order_by])
+        stored = self._rows(table, layers).select(F.col(self.key).alias("_stored"), order.alias("_stored_order"))
+        marked = latest.withColumn("_order", order)
+        found = marked.join(known(stored, latest.select(F.col(self.key).alias("_stored")), "_stored"),
+                            F.col(self.key) == F.col("_stored"), "left")
+        older = F.col("_stored_order").isNotNull() & (F.col("_order") < F.col("_stored_order"))
+        return found.where(~older).select(*latest.columns)
+
     def save(
         self,
         table: str,
         batch: DataFrame,
         order_by: Order = (),
         unique_order: bool = False,
+        keep_newer: bool = False,
     ) -> int:
         """Upsert a batch and return the number of the folder written.
 
@@ -221,7 +241,7 @@ class Store:
         says that there are none.  If any row breaks a constraint, the whole
         batch fails and nothing changes.
         """
-        rows = self.changes(table, batch, order_by, unique_order)
+        rows = self.changes(table, batch, order_by, unique_order, keep_newer)
         layers = self._layers(table, None)
         later = layers[1:]
         if not layers:

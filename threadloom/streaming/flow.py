@@ -48,16 +48,19 @@ def upsert_stream(
     unique_order: bool = False,
     available_now: bool = False,
     interval: str = "1 minute",
+    keep_newer: bool = False,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a store table.
 
     Spark may deliver the last batch again after a failure.  Saving is a keyed
     upsert into a new snapshot, so applying a batch twice gives the same rows.
+    Without ``keep_newer`` a later batch replaces an earlier one; with it, the
+    row greatest in ``order_by`` stays however the rows are cut into batches.
     ``checkpoint`` must be in a folder shared by the cluster.
     """
 
     def save(batch: DataFrame, _batch_id: int) -> None:
-        store.save(table, batch, order_by=order_by, unique_order=unique_order)
+        store.save(table, batch, order_by=order_by, unique_order=unique_order, keep_newer=keep_newer)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
