@@ -135,3 +135,23 @@ def stream_upsert(spark, folder):
         stream = spark.readStream.schema(events.schema).parquet(source)
         upsert_stream(stream, store, "events", state, ["ts", "event_id"], True, available_now=True).awaitTermination()
     return store.read("events")
+
+
+@check(
+    "stream_upsert_unsorted",
+    """SELECT * FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+)
+def stream_upsert_unsorted(spark, folder):
+    """Events arrive in any order; newer stored rows stay, however the rows are cut into batches."""
+    events = load(spark, folder, "events")
+    store = Store(spark, "table", work_path(spark, "newest"), "user_id", {"events": schema_of(events, "user_id")})
+    source, state = work_path(spark, "shuffled"), work_path(spark, "newest-state")
+    for part in range(3):
+        some = events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part)
+        write_files(some, "parquet", source, mode="append")
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        upsert_stream(
+            stream, store, "events", state, ["ts", "event_id"], True, available_now=True, keep_newer=True
+        ).awaitTermination()
+    return store.read("events")

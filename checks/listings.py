@@ -89,6 +89,29 @@ def listing_page(spark, folder):
     return order_listing(spark, folder, "top", "all", 50, after=(250000.0, 700))
 
 
+@check(
+    "listing_page_before",
+    """WITH ranked AS (SELECT o_orderkey, o_totalprice, o_orderdate, o_totalprice AS rank_value FROM orders),
+    mark AS (SELECT 250000.0 AS v, 700 AS k)
+    SELECT r.* FROM ranked r, mark WHERE r.rank_value > v OR (r.rank_value = v AND o_orderkey < k)
+    ORDER BY r.rank_value, o_orderkey DESC LIMIT 50""",
+)
+def listing_page_before(spark, folder):
+    """The page that ends right ahead of a mark."""
+    return order_listing(spark, folder, "top", "all", 50, before=(250000.0, 700))
+
+
+@check(
+    "comment_listing_many",
+    """SELECT event_id, event_type, value FROM events
+       QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) <= 1500""",
+)
+def many_comments(spark, folder):
+    """More rows per group than Spark trims before a shuffle."""
+    events = load(spark, folder, "events").select("event_id", "event_type", "value")
+    return comment_listing(events, "top", 1500, "event_type", score="value", created="event_id", key="event_id")
+
+
 @check(
     "comment_listing",
     """SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate FROM lineitem

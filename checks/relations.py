@@ -56,6 +56,24 @@ def comment_collection(spark, folder):
     )
 
 
+@check(
+    "comment_collection_chunks",
+    """WITH numbered AS (
+         SELECT l_suppkey, l_returnflag, l_quantity, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_returnflag, l_quantity) - 1 AS n
+         FROM lineitem WHERE l_suppkey % 7 > 0)
+       SELECT s_suppkey, coalesce(n // 50, 0) AS chunk, count(l_suppkey) AS n_items,
+         coalesce(string_agg(l_returnflag || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), ' ' ORDER BY n), '') AS items
+       FROM supplier LEFT JOIN numbered ON s_suppkey = l_suppkey GROUP BY ALL""",
+)
+def comment_collection_chunks(spark, folder):
+    """Parents with several ordered chunks whose items repeat, and parents without any."""
+    items = load(spark, folder, "lineitem").where("l_suppkey % 7 > 0").selectExpr("l_suppkey", "l_returnflag", "CAST(l_quantity AS INT) AS quantity")
+    suppliers = load(spark, folder, "supplier").select("s_suppkey")
+    grouped = relate.collections(suppliers, items, ["l_returnflag", "quantity"], "s_suppkey", "l_suppkey", "items", 50)
+    shown = F.transform("items", lambda x: F.concat(x["l_returnflag"], x["quantity"]))
+    return grouped.select("s_suppkey", "chunk", F.size("items").cast("long").alias("n_items"), F.array_join(shown, " ").alias("items"))
+
+
 @check(
     "comment_parent",
     f"""WITH {RAW_POSTS_SQL}, {RAW_COMMENTS_SQL}

@@ -105,6 +105,33 @@ def most_frequent_by(spark, folder):
     return top_values(load(spark, folder, "lineitem"), "l_suppkey", 10, ["l_returnflag"])
 
 
+@check(
+    "top_values_by_many",
+    """WITH counts AS (SELECT l_returnflag, l_partkey, count(*) AS count FROM lineitem GROUP BY ALL)
+       SELECT * FROM counts
+       QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY count DESC, l_partkey) <= 1200""",
+)
+def many_frequent_by(spark, folder):
+    return top_values(load(spark, folder, "lineitem"), "l_partkey", 1200, ["l_returnflag"])
+
+
+@check(
+    "post_features_by_flair",
+    f"""WITH {RAW_POSTS_SQL},
+    posts AS (SELECT * REPLACE (nullif(link_flair_text, 'en') AS link_flair_text) FROM raw_posts),
+    counts AS (SELECT link_flair_text, "domain" AS v, count(*) AS n FROM posts GROUP BY ALL),
+    top AS (SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY link_flair_text ORDER BY n DESC, v) <= 10),
+    lists AS (SELECT link_flair_text, string_agg(v || ':' || n, ' ' ORDER BY n DESC, v) AS top_domains FROM top GROUP BY 1)
+    SELECT g.*, top_domains FROM (SELECT link_flair_text, {POST_MEASURES} FROM posts GROUP BY link_flair_text) g
+    JOIN lists l ON g.link_flair_text IS NOT DISTINCT FROM l.link_flair_text""",
+)
+def post_features_by_flair(spark, folder):
+    """Features by a nullable column: the group without a value has its domains as well."""
+    posts = raw_posts(spark, folder).withColumn("link_flair_text", F.nullif(F.col("link_flair_text"), F.lit("en")))
+    got = post_features(posts, ["link_flair_text"])
+    return rounded(got, "avg_score", "avg_comments", "self_post_ratio").withColumn("top_domains", listed("top_domains"))
+
+
 @check(
     "flag_share",
     """SELECT event_type, round(avg(CAST(value > 50 AS INTEGER)), 6) AS large_share

@@ -182,3 +182,14 @@ def lemma_repeated_keys(spark, folder):
 @check("lemma_repeated_keys_join", REPEATED_LEMMA_SQL)
 def lemma_repeated_keys_join(spark, folder):
     return lemmatized_repeats(spark, folder, "join")
+
+
+@check(
+    "text_clean_missing",
+    f"""SELECT doc_id, {clean_sql('t')} AS cleaned, t IS NULL AS missing
+        FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END AS t FROM documents) d""",
+)
+def text_clean_missing(spark, folder):
+    """A null or empty text cleans to the empty text."""
+    docs = load(spark, folder, "documents").selectExpr("doc_id", "CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END AS t")
+    return docs.select("doc_id", clean(F.col("t")).alias("cleaned"), F.col("t").isNull().alias("missing"))

@@ -1,5 +1,7 @@
 """The plans used beyond the broadcast threshold, with a third of all rows on one key."""
 
+import re
+
 import pytest
 from conftest import SF, values
 from pyspark.sql import functions as F
@@ -76,7 +78,42 @@ def test_hot_post_joins(hot, posts):
 def test_hot_post_collections(hot, posts):
     rows = tl.collections(posts, hot, ["n"], chunk_size=100).collect()
     assert sorted(c.n for r in rows for c in r.comments) == list(range(3000))
-    assert max(len(r.comments) for r in rows) < 200
+    own = sorted((r.chunk, [c.n for c in r.comments]) for r in rows if r.id == "hot")
+    assert [len(c) for _, c in own] == [100] * 10 and [n for _, c in own for n in c] == list(range(0, 3000, 3))
+
+
+def test_equal_children_are_cut_as_well(hot, posts):
+    same = hot.select("post_id", F.lit(True).alias("flag"))
+    rows = tl.collections(posts, same, ["flag"], chunk_size=64).where("id = 'hot'").collect()
+    assert max(len(r.comments) for r in rows) == 64 and sum(len(r.comments) for r in rows) == 1000
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chunks_are_dealt_by_chunk(hot, posts):
+    plan = executed(tl.collections(posts, hot, ["n"], chunk_size=100))
+    assert re.search(r"Exchange hashpartitioning\(_join_key#\d+, (chunk|_groupingexpression)#", plan)
+
+
+def test_left_join_splits_the_hot_post(hot, posts):
+    joined = tl.with_children(posts, hot.where("post_id <> 'p1'"), how="left")
+    assert "skew=true" in executed(joined)
+    assert joined.where("comment_id IS NULL").count() == 1 and joined.count() == hot.where("post_id <> 'p1'").count() + 1
+
+
+@pytest.mark.parametrize("limit", [5, 1500])
+def test_hot_post_is_split_after_the_semi_join(hot, posts, limit):
+    from threadloom.plans.collect import posts_with_comments
+
+    scored = hot.withColumns({"score": F.col("n"), "created_utc": F.timestamp_seconds("n")})
+    found = posts_with_comments(posts.withColumns({"score": F.lit(1), "created_utc": F.timestamp_seconds(F.lit(1))}), scored, None, "all", "new", limit, "top", ordered=False)
+    plan = executed(found.comments)
+    assert ("_slice" in plan) if limit == 5 else ("_number_of_piece" in plan)
+    best = sorted(r.n for r in found.comments.where("post_id = 'hot'").collect())
+    assert best == list(range(0, 3000, 3))[-limit:]
 
 
 def test_hot_parent_tree(hot):

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from .rank import first_per_group
 from .transforms import optional
 
 
@@ -32,10 +33,8 @@ def top_values(
     order = [F.col(count).desc(), F.col(column).asc()]
     if not by:
         return counts.orderBy(*order).limit(n)
-    window = Window.partitionBy(*by).orderBy(*order)
-    return (
-        counts.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
-    )
+    # The counts are dealt by group and value; a group may have very many values.
+    return first_per_group(counts, by, order, n)
 
 
 def _as_list(top: DataFrame, column: str, by: Sequence[str], name: str) -> DataFrame:

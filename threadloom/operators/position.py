@@ -17,11 +17,12 @@ def number_rows(
     """``df`` with the row's number in its group, from 1, in the given order.
 
     The rows are range-partitioned by group and order, so a hot group is cut
-    into pieces that lie in several tasks.  Rows are numbered per piece, and
-    each piece adds the sizes of the group's earlier pieces.  Only groups that
-    were cut have such a sum: at most two per partition.  Equal rows get
-    different numbers in an arbitrary but fixed order: the dealt rows are
-    checkpointed, so a lost executor cannot renumber them.
+    into pieces that lie in several tasks.  Each piece knows where it begins in
+    its partition and how many rows of the group lie in earlier pieces; a join
+    on (group, piece) turns that into numbers, and no task holds more of a group
+    than one piece.  Equal rows get different numbers in an arbitrary but fixed
+    order: the dealt rows are checkpointed, so a lost executor cannot renumber
+    them.
     """
     keys = [F.col(c).asc_nulls_first() for c in group]
     dealt = (
@@ -30,21 +31,17 @@ def number_rows(
         .withColumn(_AT, F.monotonically_increasing_id())
     )
     dealt = cut_lineage(dealt).withColumn(_PIECE, F.shiftright(_AT, 33))
-    pieces = dealt.groupBy(*group, _PIECE).agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(*group).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    sums = (
-        pieces.withColumn(_BEFORE, F.sum("_n").over(earlier))
-        .where(F.col(_BEFORE).isNotNull())
-        .select(*[F.col(c).alias(f"_number_{i}") for i, c in enumerate(group)],
-                F.col(_PIECE).alias("_number_at_piece"), _BEFORE)
-    )
-    within = Window.partitionBy(*group, _PIECE).orderBy(_AT)
-    numbered = dealt.withColumn(name, F.row_number().over(within).cast("long"))
-    same = F.col(_PIECE) == F.col("_number_at_piece")
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
+    pieces = dealt.groupBy(*group, _PIECE).agg(F.min(_AT).alias("_first"), F.count("*").alias("_n"))
+    starts = pieces.select(
+        *[F.col(c).alias(f"_number_{i}") for i, c in enumerate(group)],
+        F.col(_PIECE).alias("_number_of_piece"),
+        before.alias(_BEFORE),
+    )
+    same = F.col(_PIECE) == F.col("_number_of_piece")
     for i, c in enumerate(group):
         same = same & F.col(c).eqNullSafe(F.col(f"_number_{i}"))
-    return (
-        numbered.join(sums, same, "left")
-        .withColumn(name, F.col(name) + F.coalesce(F.col(_BEFORE), F.lit(0).cast("long")))
-        .select(*[c for c in df.columns if c != name], name)
+    return dealt.join(starts, same).select(
+        *[c for c in df.columns if c != name], (F.col(_AT) + F.col(_BEFORE)).cast("long").alias(name)
     )

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import ranking
 from ..functions.scalars import time_literal
+from .position import number_rows
 
 POST_ORDERS = ("hot", "new", "top", "rising", "controversial")
 COMMENT_ORDERS = ("best", "top", "new", "controversial", "old", "qa")
@@ -22,9 +24,6 @@ TIME_WINDOWS = {
 }
 RANK = "rank_value"
 
-# Above this many rows per group Spark no longer trims groups before the shuffle.
-_NATIVE_GROUP_LIMIT = 1000
-
 
 def _choice(value: str, allowed: tuple[str, ...] | dict, what: str) -> str:
     if value not in allowed:
@@ -155,38 +154,41 @@ def comment_order(
     return [*orders[sort_by], F.col(key).asc()]
 
 
-def first_per_group(df: DataFrame, group: str, order: list[Column], limit: int) -> DataFrame:
+def first_per_group(
+    df: DataFrame, group: str | Sequence[str], order: list[Column], limit: int, dealt_by_group: bool = False
+) -> DataFrame:
     """The first ``limit`` rows of every group.
 
-    Spark trims each group inside its input partitions as long as the limit is
-    small.  For larger limits the groups are first cut per hash slice, then per
-    group; a row that is among the first of its group is also among the first
-    of its slice, so the result is the same and no task sorts a whole hot group.
+    Spark trims each group inside its input partitions before the shuffle as
+    long as the limit is within ``spark.sql.optimizer.windowGroupLimitThreshold``.
+    Larger limits number the rows by range pieces (see ``number_rows``).  Rows
+    that a shuffled join has already dealt by group cannot be trimmed before a
+    shuffle; with ``dealt_by_group`` they are dealt anew over slices of the
+    groups, trimmed there, and then per group.  The rows are the same in every
+    case, and no task sorts a whole hot group.
     """
-    if limit > _NATIVE_GROUP_LIMIT:
-        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*_flat(df)), F.lit(slices)))
-        local = Window.partitionBy(group, "_slice").orderBy(*order)
-        df = (
-            sliced.withColumn("_rn", F.row_number().over(local))
-            .where(F.col("_rn") <= limit)
-            .drop("_rn", "_slice")
-        )
-    window = Window.partitionBy(group).orderBy(*order)
+    groups = [group] if isinstance(group, str) else list(group)
+    spark = df.sparkSession
+    if limit > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        return number_rows(df, groups, order, "_rn").where(F.col("_rn") <= limit).drop("_rn")
+    if dealt_by_group:
+        slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # The place of a row in its task spreads a group whatever its values are.
+        sliced = df.withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.lit(slices)))
+        sliced = sliced.repartition(*groups, "_slice")
+        local = Window.partitionBy(*groups, "_slice").orderBy(*order)
+        df = sliced.withColumn("_rn", F.row_number().over(local)).where(F.col("_rn") <= limit).drop("_rn", "_slice")
+    window = Window.partitionBy(*groups).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= limit).drop("_rn")
 
 
-def _flat(df: DataFrame) -> list[Column]:
-    simple = ("string", "bigint", "int", "double", "boolean", "timestamp", "timestamp_ntz")
-    return [F.col(n) for n, kind in df.dtypes if kind in simple]
-
-
 def comment_listing(
     comments: DataFrame,
     sort_by: str = "best",
     limit: int | None = None,
     post: str = "post_id",
     ordered: bool = True,
+    dealt_by_post: bool = False,
     **columns,
 ) -> DataFrame:
     """Comments in listing order per post, at most ``limit`` of each post.
@@ -194,9 +196,10 @@ def comment_listing(
     Without a limit this is a sort on (post, rank): range partitioning can cut
     through one hot post, which a window per post could not.  A caller that
     does not need the order, only the choice of rows, saves the sort with
-    ``ordered=False``.
+    ``ordered=False``.  ``dealt_by_post`` says that the comments come out of a
+    shuffled join on the post (see :func:`first_per_group`).
     """
     order = comment_order(sort_by, **columns)
     if limit is not None:
-        comments = first_per_group(comments, post, order, limit)
+        comments = first_per_group(comments, post, order, limit, dealt_by_post)
     return comments.orderBy(F.col(post), *order) if ordered else comments

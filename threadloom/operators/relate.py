@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from .position import number_rows
+
 
 _KEY = "_join_key"
 
@@ -33,13 +35,19 @@ def with_children(
     """One row per parent and child; child columns that collide get a prefix.
 
     ``how="left"`` also keeps parents without children.  Parent keys are
-    unique, so a parent with very many children skews one side only, which
-    adaptive execution splits.
+    unique, so a parent with very many children skews the children's side.
+    Adaptive execution splits that side of an inner join but not of a left one,
+    so the left form is the inner join plus the parents without children.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     renamed = _prefixed(children, child_key, parents.columns, prefix)
-    return parents.join(renamed, parents[parent_key] == renamed[_KEY], how).drop(_KEY)
+    same = parents[parent_key] == renamed[_KEY]
+    inner = parents.join(renamed, same).drop(_KEY)
+    if how == "inner":
+        return inner
+    alone = parents.join(renamed.select(_KEY), same, "left_anti")
+    return inner.unionByName(alone, allowMissingColumns=True).select(*inner.columns)
 
 
 def with_parent(
@@ -104,34 +112,25 @@ def collections(
     """Parents with their children as sorted arrays.
 
     The array holds ``fields`` as structs in field order, so the first field is
-    the sort key.  Parents without children get an empty array.  A parent with
-    at most ``chunk_size`` children has one row with ``chunk`` 0.  A larger one
-    has its children spread by hash over several chunks, each of which is sorted
-    and holds about ``chunk_size`` items: every child is present, but no array
-    has to hold a whole hot thread.
+    the sort key.  A parent has one row per ``chunk_size`` children, numbered in
+    ``chunk`` from 0: every child of chunk k comes before every child of chunk
+    k + 1, and no array holds more than ``chunk_size``, whatever the fields.
+    Parents without children have one row with an empty array.
+
+    The children are numbered by range pieces and grouped by (parent, chunk),
+    so one hot parent is spread over tasks; the parents join these groups by an
+    inner join, which adaptive execution can split, and the parents without
+    children are added.
     """
     item = F.struct(*fields)
-    counts = children.groupBy(child_key).agg(F.count("*").alias("_n"))
-    hot = counts.where(F.col("_n") > chunk_size).select(
-        child_key, F.ceil(F.col("_n") / chunk_size).alias("_chunks")
-    )
-    chunked = (
-        children.select(F.col(child_key), item.alias("_item"))
-        .join(hot, child_key, "left")
-        .withColumn(
-            "chunk",
-            F.when(F.col("_chunks").isNull(), F.lit(0).cast("long")).otherwise(
-                F.pmod(F.xxhash64("_item"), F.col("_chunks"))
-            ),
-        )
-    )
-    arrays = chunked.groupBy(F.col(child_key).alias(parent_key), "chunk").agg(
-        F.sort_array(F.collect_list("_item")).alias(name)
-    )
+    items = children.where(F.col(child_key).isNotNull()).select(F.col(child_key).alias(_KEY), item.alias("_item"))
+    numbered = number_rows(items, [_KEY], [F.col("_item")], "_position")
+    chunked = numbered.withColumn("chunk", F.expr(f"(_position - 1) div {int(chunk_size)}"))
+    arrays = chunked.groupBy(_KEY, "chunk").agg(F.sort_array(F.collect_list("_item")).alias(name))
+    same = F.col(parent_key) == F.col(_KEY)
+    some = parents.join(arrays, same).select(*parents.columns, "chunk", name)
+    alone = parents.join(items.select(_KEY), same, "left_anti")
     empty = F.array().cast(arrays.schema[name].dataType)
-    return parents.join(arrays, parent_key, "left").withColumns(
-        {
-            "chunk": F.coalesce(F.col("chunk"), F.lit(0).cast("long")),
-            name: F.coalesce(F.col(name), empty),
-        }
+    return some.unionByName(
+        alone.select(*parents.columns, F.lit(0).cast("long").alias("chunk"), empty.alias(name))
     )

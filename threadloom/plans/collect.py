@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.rank import RANK, comment_listing, listing
+from ..operators.sizing import fits_broadcast
 
 
 @dataclass(frozen=True)
@@ -36,4 +37,10 @@ def posts_with_comments(
     listed = listing(posts, sort_by, time_filter, limit, as_of, ordered=ordered).drop(RANK)
     keys = listed.select(F.col("id").alias("post_id"))
     own = comments.join(keys, "post_id", "left_semi")
-    return Discussion(listed, comment_listing(own, comment_sort, comment_limit, ordered=ordered))
+    # Beyond the broadcast threshold the join deals the comments by post.
+    return Discussion(
+        listed,
+        comment_listing(
+            own, comment_sort, comment_limit, ordered=ordered, dealt_by_post=not fits_broadcast(keys)
+        ),
+    )
