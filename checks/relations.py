@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadloom.operators import relate, sets
+from threadloom.operators.rank import comment_order
 from threadloom.operators.tree import roots, walk
 from threadloom.plans.prepare import prepare_for_ml
 from threadloom.sources.normalize import normalize_comments
@@ -182,6 +183,26 @@ def comment_tree_order(spark, folder):
     return walk(comments, sibling_order="score").select("post_id", "id", F.array_join(shown, " ").alias("path"))
 
 
+def walk_sql(order: str) -> str:
+    return f"""WITH RECURSIVE {RAW_COMMENTS_SQL}, {STORED_COMMENTS_SQL},
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY post_id, parent_id ORDER BY {order}, id) AS n FROM stored_comments),
+    tree AS (
+      SELECT post_id, id, 0 AS level, [n] AS path FROM numbered WHERE parent_id = post_id
+      UNION ALL
+      SELECT c.post_id, c.id, t.level + 1, list_append(t.path, c.n)
+      FROM numbered c JOIN tree t ON c.parent_id = t.id AND c.post_id = t.post_id)
+    SELECT post_id, id, row_number() OVER (PARTITION BY post_id ORDER BY level, path) AS walk_position FROM tree"""
+
+
+for _sort, _order in (("top", "score DESC"), ("new", "created_utc DESC"), ("controversial", "abs(score)"), ("qa", "is_submitter DESC, score DESC")):
+
+    @check(f"comment_walk_{_sort}", walk_sql(_order))
+    def comment_walk(spark, folder, sort=_sort):
+        """Breadth-first numbers under a listing order."""
+        comments = normalize_comments(raw_comments(spark, folder))
+        return walk(comments, order=comment_order(sort)).select("post_id", "id", "walk_position")
+
+
 @check(
     "tree_depth_audit",
     f"""{TREE_SQL} SELECT t.id, CAST(t.walk_depth AS BIGINT) AS walk_depth, s."depth" AS stored_depth,

@@ -321,3 +321,52 @@ def test_bm25_values(spark):
             idf = math.log(1 + (3 - seen + 0.5) / (seen + 0.5))
             want += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(doc) / mean))
         assert got[i] == pytest.approx(want)
+
+
+def test_walk_with_repeated_ids(frame):
+    from threadloom.operators.rank import comment_order
+
+    rows = [("a", "p", "p", 1), ("a", "p", "p", 1), ("b", "p", "a", 2), ("b", "p", "a", 2), ("c", "p", "lost", 3)]
+    comments = frame(rows, "id string, post_id string, parent_id string, score int")
+    assert values(walk(comments), "id", "walk_depth") == [("a", 0), ("a", 0), ("b", 1), ("b", 1)]
+    placed = walk(comments, order=comment_order("top"))
+    assert values(placed, "id", "walk_position") == [("a", 1), ("a", 1), ("b", 2), ("b", 2)]
+
+
+def test_walk_order_of_a_random_forest(spark):
+    import random
+
+    from threadloom.operators.rank import comment_order
+
+    rng, rows = random.Random(6), []
+    for post in ("p", "q"):
+        for i in range(150):
+            back = [r for r in rows if r[1] == post]
+            parent = post if i < 3 or rng.random() < 0.1 else rng.choice(back[-12:])[0]
+            rows.append((f"{post}{i}", post, parent, rng.randint(0, 5)))
+    children, want = {}, {}
+    for r in rows:
+        children.setdefault(r[2], []).append(r)
+    for post in ("p", "q"):
+        level = sorted(children[post], key=lambda r: (-r[3], r[0]))
+        place = 0
+        while level:
+            for r in level:
+                place += 1
+                want[r[0]] = place
+            level = [c for r in level for c in sorted(children.get(r[0], []), key=lambda c: (-c[3], c[0]))]
+    comments = spark.createDataFrame(rows, "id string, post_id string, parent_id string, score int")
+    assert dict(values(walk(comments, order=comment_order("top")), "id", "walk_position")) == want
+
+
+def test_nested_discussions(frame):
+    import datetime as dt
+
+    from threadloom.plans.collect import posts_with_comments
+
+    at = dt.datetime(2024, 1, 1)
+    posts = frame([("p", 5, at)], "id string, score int, created_utc timestamp")
+    rows = [("a", "p", "p", 1, at), ("b", "p", "p", 9, at), ("c", "p", "a", 7, at), ("d", "p", "b", 3, at), ("e", "x", "x", 1, at)]
+    comments = frame(rows, "id string, post_id string, parent_id string, score int, created_utc timestamp")
+    found = posts_with_comments(posts, comments, 10, "all", "new", 3, "top", nested=True)
+    assert [r.id for r in found.comments.collect()] == ["b", "a", "d"]

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.rank import RANK, comment_listing, listing
+from ..operators.rank import RANK, comment_listing, comment_order, listing
 from ..operators.sizing import fits_broadcast
+from ..operators.tree import walk
 
 
 @dataclass(frozen=True)
@@ -29,14 +30,23 @@ def posts_with_comments(
     comment_sort: str = "best",
     as_of: dt.datetime | None = None,
     ordered: bool = True,
+    nested: bool = False,
 ) -> Discussion:
     """A listing of posts and, per listed post, its comments in listing order.
 
-    ``ordered=False`` keeps the choice of rows but promises no order.
+    ``ordered=False`` keeps the choice of rows but promises no order.  With
+    ``nested`` the comments come in walk order: the sorted top level first, then
+    the replies level by level; comments that no post is reached from are left
+    out and ``walk_position`` is added.
     """
     listed = listing(posts, sort_by, time_filter, limit, as_of, ordered=ordered).drop(RANK)
     keys = listed.select(F.col("id").alias("post_id"))
     own = comments.join(keys, "post_id", "left_semi")
+    if nested:
+        walked = walk(own, order=comment_order(comment_sort))
+        if comment_limit is not None:
+            walked = walked.where(F.col("walk_position") <= comment_limit)
+        return Discussion(listed, walked.orderBy("post_id", "walk_position") if ordered else walked)
     # Beyond the broadcast threshold the join deals the comments by post.
     return Discussion(
         listed,
