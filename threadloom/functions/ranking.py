@@ -10,7 +10,6 @@ hot            ``sign(s) * log10(max(|s|, 1)) + epoch / decay``
 rising         ``s / (age in hours + 2) ^ gravity``
 controversial  ``(ups + downs) ^ (min(ups, downs) / max(ups, downs))``, 0 when
                either side is not positive
-best           lower bound of the 95% Wilson interval of ``ups / (ups + downs)``
 =============  ===============================================================
 
 With an upvote ratio ``r`` other than one half, ``ups + downs = s / (2r - 1)``.
@@ -22,8 +21,6 @@ from pyspark.sql import Column, functions as F
 
 from .scalars import epoch_seconds
 
-_Z = 1.96
-
 
 def hot(score: Column, created: Column, decay: float = 45_000.0) -> Column:
     s = score.cast("double")
@@ -49,12 +46,3 @@ def controversial(ups: Column, downs: Column) -> Column:
     even = F.least(ups, downs) / F.greatest(ups, downs)
     contested = (ups > 0) & (downs > 0)
     return F.when(contested, F.pow(ups + downs, even)).otherwise(F.lit(0.0))
-
-
-def wilson(ups: Column, downs: Column) -> Column:
-    n = ups + downs
-    share = ups / n
-    z2 = F.lit(_Z * _Z)
-    centre = share + z2 / (F.lit(2.0) * n)
-    margin = F.lit(_Z) * F.sqrt((share * (F.lit(1.0) - share) + z2 / (F.lit(4.0) * n)) / n)
-    return F.when(n > 0, (centre - margin) / (F.lit(1.0) + z2 / n)).otherwise(F.lit(0.0))

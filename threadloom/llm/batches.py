@@ -7,9 +7,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
+from ..session import ship
 
-def pieces(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+
+def pieces(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows in pieces of about ``most_bytes`` of text; a longer text is a piece of its own."""
     for batch in batches:
         if not batch.num_rows:
@@ -27,3 +30,16 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int = 8 <<
 def texts(batch: pa.RecordBatch, name: str) -> list[str]:
     """The texts as Python strings, null as the empty one."""
     return ["" if t is None else t for t in batch.column(name).to_pylist()]
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def ready(spark: SparkSession, most_bytes: int = 8 << 20) -> SparkSession:
+    """Ship this library to the workers and bound the bytes of an Arrow batch for this session.
+
+    Spark's own bound counts rows and 64 MB; whole texts are large, and the JVM
+    and the worker each hold a batch per task.
+    """
+    spark.conf.set(BATCH_BYTES, str(most_bytes))
+    return ship(spark)

@@ -222,7 +222,7 @@ def identify(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _worker(file, layout, languages, size)
-        for piece in pieces(batches, text, 2 << 20):
+        for piece in pieces(batches, text, 1 << 19):
             segment = texts(piece, text)
             known = np.array([any(map(str.isalpha, t)) for t in segment], bool)
             best, belief = np.zeros(len(segment), np.int64), np.zeros(len(segment))

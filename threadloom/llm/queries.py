@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import ship
 from . import bpe, chat, decontaminate, language, lattice, secrets, sharding, simhash, urls, wordpiece
+from .batches import ready
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -20,7 +20,7 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def keep(query: Query) -> Query:
-        QUERIES[name] = lambda spark, folder: query(ship(spark), folder)
+        QUERIES[name] = lambda spark, folder: query(ready(spark), folder)
         if sql is not None:
             ORACLES[name] = sql
         return query

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.text import TextOptions, tokens
+from ..session import cut_lineage
 from .rank import RANK, post_rank, top_rows, within
 
 SEARCH_ORDERS = ("relevance", "hot", "top", "new", "comments")
@@ -33,45 +36,37 @@ def bm25(
     ``idf(t) = ln(1 + (N - n_t + 0.5) / (n_t + 0.5))`` and the term weight is
     ``tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / average length))``.
 
-    Term counts are computed per row, so no word is shuffled: one pass yields
-    the corpus figures (a single row), a second scores the rows.
+    One pass over the texts: term counts are computed per row, so no word is
+    shuffled; the corpus figures are observed on the way, and the rows that hold
+    a term are checkpointed with their counts and scored from there.
     """
     options = options or TextOptions()
     terms = query_terms(posts.sparkSession, query, options)
     if not terms:
         return posts.where(F.lit(False)).withColumn(RELEVANCE, F.lit(0.0))
     text = F.concat_ws(" ", *[F.col(f) for f in fields])
-    n = len(terms)
-
-    def tokenized(*columns: str) -> DataFrame:
-        words = posts.select(*columns, tokens(text, options).alias("_words"))
-        hits = F.filter("_words", lambda w: w.isin(terms))
-        return words.select(*columns, F.size("_words").alias("_length"), hits.alias("_hits"))
-
-    counts = [_times("_hits", t).alias(f"tf{i}") for i, t in enumerate(terms)]
-    figures = tokenized().select("_length", *counts).agg(
-        F.struct(
-            F.count("*").alias("n"),
-            F.avg("_length").alias("mean"),
-            *[F.count(F.when(F.col(f"tf{i}") > 0, True)).alias(f"df{i}") for i in range(n)],
-        ).alias("figures")
-    )
-    # Exploding the matches drops rows without one.  A filter would be pushed
-    # below the projection and tokenise every text once more per condition.
-    match = F.when(F.size("_hits") > 0, F.array(F.struct("_length", *counts)))
-    scored = (
-        tokenized(*posts.columns)
-        .select(*posts.columns, F.explode(match).alias("_m"))
-        .withColumn("_f", figures.scalar())
-    )
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("_m._length") / F.col("_f.mean"))
+    words = posts.select("*", tokens(text, options).alias("_words"))
+    hits = F.filter("_words", lambda w: w.isin(terms))
+    sized = words.select(*posts.columns, F.size("_words").alias("_length"), hits.alias("_hits"))
+    counted = sized.select(*posts.columns, "_length", *[_times("_hits", t).alias(f"_tf{i}") for i, t in enumerate(terms)])
+    corpus = Observation()
+    measures = [
+        F.count("*").alias("n"),
+        F.avg("_length").alias("mean"),
+        *[F.count(F.when(F.col(f"_tf{i}") > 0, True)).alias(f"df{i}") for i in range(len(terms))],
+    ]
+    # Observing keeps the filter above it, so every text is tokenised once.
+    any_term = reduce(or_, [F.col(f"_tf{i}") > 0 for i in range(len(terms))])
+    found = cut_lineage(counted.observe(corpus, *measures).where(any_term))
+    figures = corpus.get
+    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("_length") / F.lit(figures["mean"]))
     total = F.lit(0.0)
-    for i in range(n):
-        seen = F.col(f"_f.df{i}")
-        idf = F.log(F.lit(1.0) + (F.col("_f.n") - seen + F.lit(0.5)) / (seen + F.lit(0.5)))
-        tf = F.col(f"_m.tf{i}").cast("double")
+    for i in range(len(terms)):
+        seen = F.lit(float(figures[f"df{i}"]))
+        idf = F.log(F.lit(1.0) + (F.lit(float(figures["n"])) - seen + F.lit(0.5)) / (seen + F.lit(0.5)))
+        tf = F.col(f"_tf{i}").cast("double")
         total = total + idf * tf * F.lit(k1 + 1) / (tf + norm)
-    return scored.withColumn(RELEVANCE, total).select(*posts.columns, RELEVANCE)
+    return found.withColumn(RELEVANCE, total).select(*posts.columns, RELEVANCE)
 
 
 def _times(words: str, term: str) -> Column:

@@ -30,6 +30,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return size if size < _UNKNOWN else None
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Sum of the sizes of the tables that ``df`` reads, as far as they are known.
+
+    The estimate of a join is a product and says nothing; what enters a shuffle
+    is about what was scanned.
+    """
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return 0
+    leaves = plan.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < _UNKNOWN)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark itself would broadcast ``df`` under the session's threshold."""
     size = estimated_bytes(df)

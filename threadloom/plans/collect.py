@@ -40,17 +40,25 @@ def posts_with_comments(
     out and ``walk_position`` is added.
     """
     listed = listing(posts, sort_by, time_filter, limit, as_of, ordered=ordered).drop(RANK)
+    return Discussion(listed, comments_of(listed, comments, comment_limit, comment_sort, ordered, nested))
+
+
+def comments_of(
+    listed: DataFrame,
+    comments: DataFrame,
+    comment_limit: int | None = None,
+    comment_sort: str = "best",
+    ordered: bool = True,
+    nested: bool = False,
+) -> DataFrame:
+    """The comments of listed posts, as :func:`posts_with_comments` returns them."""
     keys = listed.select(F.col("id").alias("post_id"))
     own = comments.join(keys, "post_id", "left_semi")
     if nested:
         walked = walk(own, order=comment_order(comment_sort))
         if comment_limit is not None:
             walked = walked.where(F.col("walk_position") <= comment_limit)
-        return Discussion(listed, walked.orderBy("post_id", "walk_position") if ordered else walked)
+        return walked.orderBy("post_id", "walk_position") if ordered else walked
     # Beyond the broadcast threshold the join deals the comments by post.
-    return Discussion(
-        listed,
-        comment_listing(
-            own, comment_sort, comment_limit, ordered=ordered, dealt_by_post=not fits_broadcast(keys)
-        ),
-    )
+    dealt = not fits_broadcast(keys)
+    return comment_listing(own, comment_sort, comment_limit, ordered=ordered, dealt_by_post=dealt)

@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.sizing import estimated_bytes
+from .operators.sizing import scanned_bytes
 
 MAX_SHUFFLE_PARTITIONS = 200_000
 
@@ -21,6 +21,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where that costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Checkpoints of intermediate results go away with the frames that need them.
@@ -67,13 +69,13 @@ def size_shuffles(*scans: DataFrame, per_task: int = 200 << 20) -> int:
     """Raise ``spark.sql.shuffle.partitions`` to fit tables of this size.
 
     Each shuffle task should hold about ``per_task`` bytes so that it sorts in
-    memory; adaptive execution merges partitions that turn out small.  Give it
-    plain table scans: the size estimate of a join is only an upper bound.  The
-    setting is never lowered.
+    memory; adaptive execution merges partitions that turn out small.  What
+    counts is the size of the tables that are read, at any depth of the plan.
+    The setting is never lowered.
     """
     spark = scans[0].sparkSession
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    largest = max(estimated_bytes(df) or 0 for df in scans)
+    largest = max(map(scanned_bytes, scans), default=0)
     # Columnar files unpack to a few times their size in a shuffle.
     wanted = max(current, min(-(-3 * largest // per_task), MAX_SHUFFLE_PARTITIONS))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
@@ -111,3 +113,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system that is no longer read."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -27,6 +27,7 @@ from ..operators.filters import by_equality
 from ..operators.relate import known
 from ..operators.upsert import Order, latest_rows, merge_columns, replace_rows
 from ..schemas import TABLES, relaxed, required
+from ..session import size_shuffles
 from .files import file_format, read_files, write_files
 
 
@@ -241,8 +242,9 @@ class Store:
         says that there are none.  If any row breaks a constraint, the whole
         batch fails and nothing changes.
         """
-        rows = self.changes(table, batch, order_by, unique_order, keep_newer)
         layers = self._layers(table, None)
+        size_shuffles(batch, *([self._rows(table, layers)] if layers else []))
+        rows = self.changes(table, batch, order_by, unique_order, keep_newer)
         later = layers[1:]
         if not layers:
             kind = "full"
