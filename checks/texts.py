@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadloom.functions import text as X
+from threadloom.functions import stemming, text as X
 from threadloom.functions.scalars import preview
 from threadloom.functions.stopwords import ENGLISH
 from threadloom.functions.text import CONTRACTIONS, TextOptions, clean, tokens
@@ -122,7 +122,94 @@ def text_preview(spark, folder):
     return load(spark, folder, "documents").select("doc_id", preview(F.col("text")).alias("preview"))
 
 
-@check("stem_tokens")
+# Porter's algorithm as a chain of steps over the distinct words.  A word is marked first: the
+# letter y after a consonant becomes I, a vowel, so that classes of letters need no context.
+VOWEL = "[aeiouI]"
+CONSONANT = "[^aeiouI]"
+
+
+def cut(word: str, count: int) -> str:
+    return f"left({word}, length({word}) - {count})"
+
+
+def marked(word: str) -> str:
+    return rf"regexp_replace({word}, '([^aeiou])y', '\1I', 'g')"
+
+
+def measure(word: str) -> str:
+    return f"len(regexp_extract_all({marked(word)}, '{VOWEL}{CONSONANT}'))"
+
+
+def short_end(word: str) -> str:
+    return (
+        f"(regexp_matches({marked(word)}, '^{VOWEL}{CONSONANT}$') OR (regexp_matches({marked(word)}, "
+        f"'{CONSONANT}{VOWEL}{CONSONANT}$') AND right({word}, 1) NOT IN ('w', 'x', 'y')))"
+    )
+
+
+def first_suffix(word: str, cases) -> str:
+    """The first suffix that matches decides; ``cases`` yields (suffix, new end, condition on the stem)."""
+    whens = " ".join(
+        f"WHEN ends_with({word}, '{suffix}') THEN CASE WHEN {condition} THEN {cut(word, len(suffix))} || '{new}' ELSE {word} END"
+        for suffix, new, condition in cases
+    )
+    return f"CASE {whens} ELSE {word} END"
+
+
+def positive(word: str, table):
+    return [(suffix, new, f"{measure(cut(word, len(suffix)))} > 0") for suffix, new in table]
+
+
+def dropped(word: str):
+    for suffix in stemming._STEP_4:
+        condition = f"{measure(cut(word, len(suffix)))} > 1"
+        if suffix == "ion":
+            condition += f" AND right({cut(word, 3)}, 1) IN ('s', 't')"
+        yield suffix, "", condition
+
+
+def has_vowel(word: str) -> str:
+    return f"regexp_matches({marked(word)}, '{VOWEL}')"
+
+
+def stems_sql(words: str) -> str:
+    """CTEs ending in ``stems(word, stem)`` for the relation ``words(word)``."""
+    irregular = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in stemming._IRREGULAR.items())
+    return f"""
+    plural AS (SELECT word, CASE lower(word) {irregular} ELSE CASE WHEN length(word) <= 2 THEN lower(word) END END AS fixed, lower(word) AS l FROM {words}),
+    s1 AS (SELECT word, fixed, CASE WHEN ends_with(l, 'ies') THEN CASE WHEN length(l) = 4 THEN {cut('l', 1)} ELSE {cut('l', 2)} END
+             WHEN ends_with(l, 'sses') THEN {cut('l', 2)}
+             WHEN ends_with(l, 's') AND NOT ends_with(l, 'ss') THEN {cut('l', 1)} ELSE l END AS w FROM plural),
+    s2 AS (SELECT *, CASE WHEN ends_with(w, 'ied') OR ends_with(w, 'eed') THEN NULL
+             WHEN ends_with(w, 'ed') AND {has_vowel(cut('w', 2))} THEN {cut('w', 2)}
+             WHEN ends_with(w, 'ing') AND {has_vowel(cut('w', 3))} THEN {cut('w', 3)} END AS x FROM s1),
+    s3 AS (SELECT word, fixed, CASE WHEN ends_with(w, 'ied') THEN CASE WHEN length(w) = 4 THEN {cut('w', 1)} ELSE {cut('w', 2)} END
+             WHEN ends_with(w, 'eed') THEN CASE WHEN {measure(cut('w', 3))} > 0 THEN {cut('w', 1)} ELSE w END
+             WHEN x IS NULL THEN w
+             WHEN right(x, 2) IN ('at', 'bl', 'iz') THEN x || 'e'
+             WHEN length(x) > 1 AND right(x, 1) = substr(x, length(x) - 1, 1) AND regexp_matches({marked('x')}, '{CONSONANT}$')
+               THEN CASE WHEN right(x, 1) IN ('l', 's', 'z') THEN x ELSE {cut('x', 1)} END
+             WHEN {measure('x')} = 1 AND {short_end('x')} THEN x || 'e' ELSE x END AS w FROM s2),
+    s4 AS (SELECT word, fixed, CASE WHEN ends_with(w, 'y') AND length(w) > 2 AND regexp_matches({marked(cut('w', 1))}, '{CONSONANT}$')
+             THEN {cut('w', 1)} || 'i' ELSE w END AS w FROM s3),
+    s5 AS (SELECT word, fixed, CASE WHEN ends_with(w, 'alli') AND {measure(cut('w', 4))} > 0 THEN {cut('w', 2)} ELSE w END AS w FROM s4),
+    s6 AS (SELECT word, fixed, CASE WHEN ends_with(w, 'logi') AND {measure(cut('w', 3))} > 0 THEN {cut('w', 1)}
+             ELSE {first_suffix('w', positive('w', stemming._STEP_2))} END AS w FROM s5),
+    s7 AS (SELECT word, fixed, {first_suffix('w', positive('w', stemming._STEP_3))} AS w FROM s6),
+    s8 AS (SELECT word, fixed, {first_suffix('w', dropped('w'))} AS w FROM s7),
+    s9 AS (SELECT word, fixed, CASE WHEN ends_with(w, 'e') AND ({measure(cut('w', 1))} > 1 OR ({measure(cut('w', 1))} = 1
+             AND NOT {short_end(cut('w', 1))})) THEN {cut('w', 1)} ELSE w END AS w FROM s8),
+    stems AS (SELECT word, coalesce(fixed, CASE WHEN ends_with(w, 'll') AND {measure(cut('w', 1))} > 1 THEN {cut('w', 1)} ELSE w END) AS stem FROM s9)"""
+
+
+@check(
+    "stem_tokens",
+    f"""WITH cleaned AS (SELECT doc_id, {tokens_sql('text')} AS ws FROM documents),
+    placed AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM cleaned),
+    words AS (SELECT DISTINCT word FROM placed), {stems_sql('words')},
+    joined AS (SELECT doc_id, string_agg(stem, ' ' ORDER BY pos) AS t FROM placed p JOIN stems s ON p.word = s.word GROUP BY doc_id)
+    SELECT c.doc_id, coalesce(t, '') AS stemmed FROM cleaned c LEFT JOIN joined j ON c.doc_id = j.doc_id""",
+)
 def stem_tokens(spark, folder):
     docs = spread(load(spark, folder, "documents").select("doc_id", "text"))
     return docs.select("doc_id", clean(F.col("text"), TextOptions(stemming=True)).alias("stemmed"))
