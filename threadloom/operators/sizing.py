@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 _POWERS = {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}
 _UNKNOWN = 1 << 60
@@ -65,3 +65,16 @@ def spread(df: DataFrame) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     splits = math.ceil(size / _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
     return df.repartition(cores) if splits < cores else df
+
+
+def dealt_anew(df: DataFrame, column: str) -> Column:
+    """The values of a long, text or binary column under which ``df`` is not known to be dealt.
+
+    Adaptive execution splits the hot key of a join only if both sides come
+    straight out of shuffles made for that join.  An aggregate by the key would
+    serve the join as it is, and keep every hot key of the other side in one task.
+    """
+    kind = dict(df.dtypes)[column]
+    if kind == "bigint":
+        return F.col(column).bitwiseXOR(F.lit(0).cast("long"))
+    return F.concat(F.col(column), F.lit("").cast(kind))

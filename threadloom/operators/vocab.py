@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.arrow import map_words
-from .sizing import fits_broadcast
+from .sizing import dealt_anew, fits_broadcast
 
 MAP_ROWS = 500_000
 
@@ -77,4 +77,5 @@ def _by_join(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
         " ",
     )
     text = F.when(F.col("_lemmas").isNull(), F.col(column)).otherwise(replaced)
+    found = found.select(dealt_anew(found, "_digest").alias("_digest"), "_lemmas")
     return df.join(found, digest == F.col("_digest"), "left").withColumn(column, text).select(*df.columns)
