@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.sizing import dealt_anew
+
 def units(members: DataFrame, cell: str, node: str, block: int = 2048) -> DataFrame:
     """``members`` (one row per cell and node) with the units that each row belongs to.
 
@@ -24,7 +26,7 @@ def units(members: DataFrame, cell: str, node: str, block: int = 2048) -> DataFr
     the ``c`` units of its chunk.
     """
     sums = members.groupBy(F.col(cell).alias("_of")).agg(F.count("*").alias("_size")).where("_size > 1")
-    chunks = sums.select("_of", F.ceil(F.col("_size") / block).cast("int").alias("_chunks"))
+    chunks = sums.select(dealt_anew(sums, "_of").alias("_of"), F.ceil(F.col("_size") / block).cast("int").alias("_chunks"))
     placed = members.join(chunks, F.col(cell) == F.col("_of")).withColumn(
         "_chunk", F.pmod(F.xxhash64(node, F.lit(11)), F.col("_chunks")).cast("int")
     )

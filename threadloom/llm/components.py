@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.sizing import dealt_anew
 from ..session import cut_lineage
 
 
 def _large(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour."""
     every = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = every.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+    least = every.groupBy("a").agg(F.min("b").alias("m"))
+    least = least.select(dealt_anew(least, "a").alias("u"), F.least("a", "m").alias("m"))
     moved = every.where("b > a").join(least, F.col("a") == F.col("u"))
     return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of these; ``a > b`` in all edges."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = least.select(dealt_anew(least, "a").alias("u"), "m")
     moved = edges.join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = least.select(F.col("u").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(own).where("a <> b").distinct()

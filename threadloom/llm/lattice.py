@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.sizing import dealt_anew
 from ..session import cut_lineage
 from .cells import deal, forest, grouped, units
 from .components import components
@@ -240,6 +241,7 @@ def near_vectors(
         .select("_vec", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
     )
     smallest = known.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("component_id"))
+    smallest = smallest.select(dealt_anew(smallest, "_root").alias("_root"), "component_id")
     named = known.join(smallest, F.col("root") == F.col("_root")).select(
         F.col("_vec").alias("_of"), (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"
     )

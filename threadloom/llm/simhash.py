@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..operators.sizing import dealt_anew
 from ..session import cut_lineage
 from .batches import pieces, texts
 from .cells import deal, forest, grouped, units
@@ -143,6 +144,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, doc_id:
     # Only linked fingerprints have a root; all others are their own component.
     known = distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = least.select(dealt_anew(least, "root").alias("root"), "component_id")
     named = known.select("fp", "root").join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(named, F.col("fp") == F.col("_fp"), "left").select(doc_id, digits.alias("fingerprint"), "component_id")

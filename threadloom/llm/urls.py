@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.sizing import dealt_anew
+
 
 def url_parts(url: str = "url"):
     """Lower-case host without port and user, and the address without scheme, query and fragment."""
@@ -43,7 +45,7 @@ def _active(keyed: DataFrame, intervals: DataFrame, kind: str) -> DataFrame:
     """
     held = intervals.where(F.col("kind") == kind).drop("kind")
     now = (F.col("valid_from") <= F.col("day")) & (F.col("valid_to").isNull() | (F.col("day") < F.col("valid_to")))
-    return (
+    active = (
         keyed.join(held, "pattern")
         .where(now)
         .groupBy("key", "day")
@@ -53,6 +55,7 @@ def _active(keyed: DataFrame, intervals: DataFrame, kind: str) -> DataFrame:
             F.collect_set(F.when(F.col("effect") == "block", F.col("list"))).alias("lists"),
         )
     )
+    return active.withColumn("key", dealt_anew(active, "key"))
 
 
 def filter_urls(
