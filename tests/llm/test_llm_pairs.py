@@ -280,3 +280,17 @@ def test_passage_edges(spark):
     assert (hit.start, hit.end, hit.edits) == (600_000, 600_000 + len(passage), 0)
     assert decontaminate.leaks(docs.where("false"), items).collect() == [] and decontaminate.leaks(docs, items.where("false")).collect() == []
     assert decontaminate.drop_contaminated(docs, items).columns == docs.columns
+
+
+def test_hubs_can_be_split(spark):
+    """Both sides of the stars' joins come straight out of shuffles, which adaptive execution needs to split a hub."""
+    from threadloom.llm.components import _large, _small
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.range(100).selectExpr("id + 1 AS a", "id % 10 AS b").where("a > b").repartition(3)
+        for star in (_large, _small):
+            assert "Exchange hashpartitioning(u#" in star(edges)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
