@@ -34,13 +34,15 @@ def scanned_bytes(df: DataFrame) -> int:
     """Sum of the sizes of the tables that ``df`` reads, as far as they are known.
 
     The estimate of a join is a product and says nothing; what enters a shuffle
-    is about what was scanned.
+    is about what was scanned.  Only files and tables count: checkpoints carry
+    the estimate of the plan that made them.
     """
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return 0
     leaves = plan.queryExecution().optimizedPlan().collectLeaves()
-    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    tables = (leaf for i in range(leaves.size()) if "Relation" in (leaf := leaves.apply(i)).nodeName())
+    sizes = (int(str(leaf.stats().sizeInBytes())) for leaf in tables)
     return sum(size for size in sizes if size < _UNKNOWN)
 
 

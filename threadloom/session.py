@@ -65,17 +65,18 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(*scans: DataFrame, per_task: int = 200 << 20) -> int:
+def size_shuffles(*scans: DataFrame, per_task: int = 200 << 20, stored_bytes: int = 0) -> int:
     """Raise ``spark.sql.shuffle.partitions`` to fit tables of this size.
 
     Each shuffle task should hold about ``per_task`` bytes so that it sorts in
     memory; adaptive execution merges partitions that turn out small.  What
-    counts is the size of the tables that are read, at any depth of the plan.
+    counts is the size of the tables that are read, at any depth of the plan, or
+    ``stored_bytes`` of files if that is more.
     The setting is never lowered.
     """
     spark = scans[0].sparkSession
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    largest = max(map(scanned_bytes, scans), default=0)
+    largest = max([stored_bytes, *map(scanned_bytes, scans)])
     # Columnar files unpack to a few times their size in a shuffle.
     wanted = max(current, min(-(-3 * largest // per_task), MAX_SHUFFLE_PARTITIONS))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))

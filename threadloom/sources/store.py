@@ -243,7 +243,7 @@ class Store:
         batch fails and nothing changes.
         """
         layers = self._layers(table, None)
-        size_shuffles(batch, *([self._rows(table, layers)] if layers else []))
+        size_shuffles(batch, stored_bytes=self._bytes(table, layers))
         rows = self.changes(table, batch, order_by, unique_order, keep_newer)
         later = layers[1:]
         if not layers:
