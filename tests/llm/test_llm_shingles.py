@@ -1,0 +1,92 @@
+"""The exact shingle join against brute force, and the rows that are kept."""
+
+import random
+
+import numpy as np
+import pytest
+from conftest import SF
+
+import corpus_pipeline
+from threadloom.llm import shingles, simhash
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def by_words(text, size=5):
+    words = "".join(c.lower() if c.isascii() else c for c in text or "").split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def firsts(rows):
+    """The smallest id of every component of the links from 0.8 on."""
+    sets, parent = [by_words(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 5 * len(x & y) >= 4 * len(x | y):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return sorted(rows[i][0] for i in range(len(rows)) if find(i) == i)
+
+
+def edited(words, changes, rng):
+    words = list(words)
+    for at in rng.sample(range(len(words)), changes):
+        words[at] = f"new{rng.random()}"
+    return words
+
+
+@pytest.fixture(scope="module")
+def near_copies():
+    """Chains of edits around the limit, a dense group, one line that half of the texts share, and short texts."""
+    rng, texts = random.Random(3), []
+    word = lambda: f"w{rng.randrange(4000)}"
+    for _ in range(40):
+        base = [word() for _ in range(rng.randrange(60, 200))]
+        texts += [base] + [edited(base, rng.randrange(1, 9), rng) for _ in range(3)]
+    base = [word() for _ in range(150)]
+    texts += [edited(base, rng.randrange(0, 6), rng) for _ in range(80)]
+    line = [word() for _ in range(30)]
+    texts += [line + [word() for _ in range(rng.randrange(2, 40))] for _ in range(150)]
+    texts += [["one", "two"], ["One", "TWO"], ["two", "one"], []]
+    rng.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_no_pair_is_missed(spark, near_copies):
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in near_copies], DOCS).repartition(5)
+    want = firsts(near_copies)
+    for block in (32, 2048):
+        assert sorted(r.doc_id for r in shingles.keep_first(docs, block=block).select("doc_id").collect()) == want
+
+
+def test_stage_links_from_0_8_on(spark, near_copies, table):
+    docs = table("documents")
+    want = firsts(sorted((r.doc_id, r.text) for r in docs.collect()))
+    kept = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == want and kept.columns == docs.columns
+    radius_three = {r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert len(want) < len(radius_three)
+
+
+def test_rows_that_repeat_an_id(spark):
+    long = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"other{i}" for i in range(40))
+    rows = [(1, long), (2, long), (2, other), (2, other), (3, other + " more"), (None, long), (None, None), (5, ""), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], DOCS)
+    kept = sorted(((r.doc_id, r.text) for r in shingles.keep_first(docs).collect()), key=repr)
+    assert kept == sorted([(1, long), (2, other), (None, long), (None, None), (5, "")], key=repr)
+    assert shingles.keep_first(docs.where("false")).collect() == []
+
+
+def test_forest_of_candidates():
+    near = np.zeros((6, 6), bool)
+    for a, b in ((0, 3), (1, 2), (2, 3), (0, 1), (1, 3)):
+        near[a, b] = near[b, a] = True
+    left, right = shingles._forest(6, lambda i: i + 1 + np.flatnonzero(near[i, i + 1 :]), 10)
+    assert len(left) == 3 and all(near[a - 10, b - 10] for a, b in zip(left, right))

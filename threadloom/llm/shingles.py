@@ -1,0 +1,322 @@
+"""Near duplicates by the Jaccard similarity of word shingles: an exact set join, no pair is missed."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ..operators.sizing import dealt_anew
+from ..session import cut_lineage, drop_path, work_path
+from .batches import pieces, texts
+from .cells import deal, forest, grouped, units
+from .components import components
+from .simhash import _LOWER, SMALL, first_rows, least_rows, row_hash
+
+#: Counters of the sketch that orders the shingles, and the slices in which they are added up.
+COUNTERS, SLICES = 1 << 16, 16
+
+
+class _Words(dict):
+    """Hashes of words, forgotten when they are many."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= 1 << 20:
+            self.clear()
+        made = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return made
+
+
+def shingle_set(text: str, known: _Words, shingle: int = 5) -> np.ndarray:
+    """Sorted different 64-bit hashes of the word shingles; a shorter text is one shingle, no words give none."""
+    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    size = min(shingle, len(words))
+    made = np.full(len(words) - size + 1, size, np.uint64)
+    for k in range(size):
+        made = (made ^ hashes[k : len(words) - size + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        made ^= made >> np.uint64(29)
+    return np.unique(made)
+
+
+def _node(shingles: np.ndarray) -> int:
+    """One number for a set; equal sets are one node."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(shingles.tobytes())
+
+
+def _needed(left, right, least: Fraction):
+    """The shingles two sets of these sizes must share."""
+    p, q = least.numerator, least.numerator + least.denominator
+    return -(-(p * (left + right)) // q)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _stored(df: DataFrame, paths: list[str]) -> DataFrame:
+    """``df`` as files of the shared folder; the shuffles that made it are deleted at once."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, "shingles")
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _sets(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """Rows (doc_id, row, node), and per task the counts of its shingles in slices."""
+    schema = T.StructType([docs.schema[doc_id], *T.StructType.fromDDL("row long, node long, slice int, counts binary").fields])
+    schema[0].nullable = True
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts, kind = _Words(), np.zeros(COUNTERS, np.int64), None
+        for piece in pieces(batches, text):
+            found = [shingle_set(t, known, shingle) for t in texts(piece, text)]
+            counts += np.bincount(np.concatenate(found) & np.uint64(COUNTERS - 1), minlength=COUNTERS)
+            nodes = np.array([_node(s) for s in found], np.uint64).view(np.int64)
+            kind = piece.column(doc_id).type
+            none = [pa.nulls(len(found), pa.int32()), pa.nulls(len(found), pa.binary())]
+            yield pa.RecordBatch.from_arrays([piece.column(doc_id), piece.column("row"), pa.array(nodes), *none], names=schema.names)
+        if kind is not None:
+            parts = [part.tobytes() for part in np.split(counts, SLICES)]
+            none = [pa.nulls(SLICES, kind), pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=schema.names)
+
+    return docs.select(doc_id, row_hash(docs).alias("row"), text).mapInArrow(run, schema)
+
+
+def _rank(found: DataFrame) -> np.ndarray:
+    """The counters of all tasks added up: 512 kB, whatever the input's size."""
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[k] = sums.get(k, 0) + np.frombuffer(counts, np.int64)
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["slice", "counts"])
+
+    parts = found.where("slice IS NOT NULL").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(add, "slice int, counts binary")
+    total = np.zeros((SLICES, COUNTERS // SLICES), np.int64)
+    for row in parts.collect():
+        total[row.slice] = np.frombuffer(row.counts, np.int64)
+    return total.reshape(-1)
+
+
+def _keys(docs: DataFrame, text: str, shingle: int, least: Fraction, rank: np.ndarray) -> DataFrame:
+    """Every set under each shingle of its prefix: rows (cell, node, size, at, bits).
+
+    All sets are sorted by one order, rare counters first.  Two sets similar by
+    ``least`` share a shingle of their first ``size - ceil(least * size) + 1``.
+    ``bits`` has the parity of the shingles that fall on each of 64 bits: two
+    sets differ in at least as many shingles as their bits do.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(rank)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts, done = _Words(), shared.value, set()
+        for piece in pieces(batches, text):
+            columns: list[list[np.ndarray]] = [[], [], [], [], []]
+            for t in texts(piece, text):
+                own = shingle_set(t, known, shingle)
+                node = _node(own)
+                if not len(own) or node in done:
+                    continue
+                if len(done) >= 1 << 20:
+                    done.clear()
+                done.add(node)
+                size = len(own)
+                prefix = size - -(-least.numerator * size // least.denominator) + 1
+                first = own[np.lexsort((own, counts[own & np.uint64(COUNTERS - 1)]))[:prefix]]
+                odd = np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=64) & 1
+                bits = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+                columns[0].append(first)
+                columns[1].append(np.full(prefix, node, np.uint64))
+                columns[2].append(np.full(prefix, size, np.int32))
+                columns[3].append(np.arange(prefix, dtype=np.int32))
+                columns[4].append(np.full(prefix, bits[0], np.uint64))
+            if columns[0]:
+                made = [np.concatenate(c) for c in columns]
+                arrays = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in made]
+                whole = pa.RecordBatch.from_arrays(arrays, names=["cell", "node", "size", "at", "bits"])
+                for at in range(0, whole.num_rows, 1 << 17):
+                    yield whole.slice(at, 1 << 17)
+
+    return docs.select(text).mapInArrow(run, "cell long, node long, size int, at int, bits long")
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """Without repeated rows and without the cells of a single node, in one pass over sorted rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, joined = None, False  # the last row, and whether it shares its cell with the one before
+        for batch in batches:
+            table = pa.Table.from_batches(([held] if held is not None else []) + [batch])
+            if not table.num_rows:
+                continue
+            cell, node = table.column("cell").to_numpy(), table.column("node").to_numpy()
+            new = np.ones(len(cell), bool)
+            new[1:] = (cell[1:] != cell[:-1]) | (node[1:] != node[:-1])
+            table, cell = table.filter(pa.array(new)), cell[new]
+            same = np.append(cell[1:] == cell[:-1], False)
+            keep = same | np.append(joined, same[:-1])
+            yield from table.slice(0, len(cell) - 1).filter(pa.array(keep[:-1])).to_batches()
+            held, joined = table.slice(len(cell) - 1).combine_chunks().to_batches()[0], bool(keep[-1])
+        if held is not None and joined:
+            yield held
+
+    return keys.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, keys.schema)
+
+
+def _candidates(placed: DataFrame, least: Fraction, whole: bool) -> DataFrame:
+    """Pairs (a, b) of nodes of a unit that size, place and bits do not rule out.
+
+    Of a large unit only a spanning forest leaves, or, if ``whole``, all pairs
+    whose column ``root`` differs.
+    """
+    p, q = least.numerator, least.denominator
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in grouped(batches, "cell"):
+            node = table.column("node").to_numpy()
+            size, at = (table.column(c).to_numpy().astype(np.int64) for c in ("size", "at"))
+            bits = table.column("bits").to_numpy().view(np.uint64)
+            root = table.column("root").to_numpy() if whole else None
+            bounds = np.append(starts, len(node))
+
+            def near(i, j):
+                """Which of the rows j may be similar to row i (or each to its own)."""
+                a, b = size[i], size[j]
+                need = _needed(a, b, least)
+                fine = (p * np.maximum(a, b) <= q * np.minimum(a, b)) & (np.minimum(a - at[i], b - at[j]) >= need)
+                fine &= np.bitwise_count(bits[i] ^ bits[j]) <= a + b - 2 * need
+                fine &= node[i] != node[j]
+                return fine & (root[i] != root[j]) if whole else fine
+
+            def out(left, right):
+                a, b = np.minimum(node[left], node[right]), np.maximum(node[left], node[right])
+                for k in range(0, len(a), 1 << 18):
+                    yield pa.RecordBatch.from_arrays([pa.array(a[k : k + (1 << 18)]), pa.array(b[k : k + (1 << 18)])], names=["a", "b"])
+
+            sizes = np.diff(bounds)
+            unit = np.repeat(np.arange(len(sizes)), sizes)
+            rows = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
+            for step in range(1, SMALL):
+                rows = rows[rows + step < len(node)]
+                rows = rows[unit[rows + step] == unit[rows]]
+                if not len(rows):
+                    break
+                some = rows[near(rows, rows + step)]
+                yield from out(some, some + step)
+            for k in np.flatnonzero(sizes > SMALL).tolist():
+                lo, hi = int(bounds[k]), int(bounds[k + 1])
+                linked = lambda i, lo=lo, hi=hi: i + 1 + np.flatnonzero(near(lo + i, np.arange(lo + i + 1, hi)))
+                if whole:
+                    for i in range(hi - lo):
+                        some = lo + linked(i)
+                        yield from out(np.full(len(some), lo + i), some)
+                else:
+                    yield from out(*_forest(hi - lo, linked, lo))
+
+    return placed.mapInArrow(run, "a long, b long").distinct()
+
+
+def _forest(count: int, linked, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest, each of them a candidate itself."""
+    label, lefts, rights = np.arange(count), [], []
+    for i in range(count):
+        near = linked(i)
+        labels, first = np.unique(label[near], return_index=True)
+        other = labels != label[i]
+        if other.any():
+            rights.append(near[first[other]])
+            lefts.append(np.full(int(other.sum()), i))
+            label[np.isin(label, labels)] = label[i]
+    none = np.zeros(0, np.int64)
+    return start + np.concatenate([none, *lefts]), start + np.concatenate([none, *rights])
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int, least: Fraction, paths: list[str]) -> DataFrame:
+    """The pairs whose sets are similar by ``least``; the sets are made anew from one text of each node."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("_end")).distinct()
+    ones = rows.groupBy("node").agg(F.min(F.struct(F.col(doc_id), F.col("row"))).alias("_one"))
+    ones = ones.join(ends, F.col("node") == F.col("_end")).select(F.col("_one")[doc_id].alias("_id"), F.col("_one")["row"].alias("_row"))
+    named = docs.select(F.col(doc_id).alias("_named"), row_hash(docs).alias("_hash"), F.col(text).alias("_text"))
+    told = named.join(ones, F.col("_named").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row"))).select("_text")
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words()
+        for piece in pieces(batches, "_text"):
+            found = [shingle_set(t, known, shingle) for t in texts(piece, "_text")]
+            nodes = np.array([_node(s) for s in found], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "made"])
+
+    own: list[str] = []
+    sets = _stored(told.mapInArrow(make, "node long, made binary").dropDuplicates(["node"]), own)
+    both = pairs.join(sets.toDF("_a", "_left"), F.col("a") == F.col("_a")).drop("_a")
+    both = both.join(sets.toDF("_b", "_right"), F.col("b") == F.col("_b")).drop("_b")
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fine = []
+            for left, right in zip(batch.column("_left"), batch.column("_right")):
+                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (left, right))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                fine.append(common >= _needed(len(x), len(y), least))
+            yield batch.select(["a", "b"]).filter(pa.array(fine, pa.bool_()))
+
+    fine = _stored(both.mapInArrow(compare, "a long, b long"), paths)
+    for path in own:
+        drop_path(docs.sparkSession, path)
+    return fine
+
+
+def keep_first(
+    docs: DataFrame, least: str = "0.8", shingle: int = 5, doc_id: str = "doc_id", text: str = "text", block: int = 2048
+) -> DataFrame:
+    """One row of each group of near duplicates: the one with the smallest id.
+
+    Two texts are linked if the Jaccard similarity of their sets of
+    ``shingle``-word shingles is at least ``least``; groups are the components
+    of the links.  All such links count: candidates come from a prefix join
+    that misses none, and every candidate is compared on its whole set, unless
+    other links already connect its two texts.  Words are cut at ASCII blanks
+    and A-Z count as a-z; a text of fewer words is one shingle, and texts
+    without words (null is one) are equal.  Rows without an id take part in the
+    links and stay; see ``simhash.first_rows`` for ids that repeat.
+    """
+    ratio, paths = Fraction(least), []
+    found = _stored(_sets(docs, doc_id, text, shingle), paths)
+    rows = found.where("slice IS NULL").select(doc_id, "row", "node")
+    members = _stored(_shared(_keys(docs, text, shingle, ratio, _rank(found))), paths)
+    pairs = _stored(_candidates(deal(units(members, "cell", "node", block), "cell"), ratio, False), paths)
+    links = _verified(pairs, rows, docs, doc_id, text, shingle, ratio, paths)
+    rooted = components(links)
+    # Large cells sent only a forest; where one of its pairs failed, the other pairs of the cell are tried.
+    large = members.groupBy(F.col("cell").alias("_cell")).agg(F.count("*").alias("_n")).where(F.col("_n") > SMALL)
+    large = large.select(dealt_anew(large, "_cell").alias("_cell"))
+    inside = members.join(large, F.col("cell") == F.col("_cell")).drop("_cell")
+    inside = inside.join(rooted.toDF("_node", "root"), F.col("node") == F.col("_node"), "left").drop("_node")
+    inside = inside.withColumn("root", F.coalesce("root", "node"))
+    more = _candidates(deal(units(inside, "cell", "node", block), "cell"), ratio, True)
+    more = _stored(more.join(pairs, ["a", "b"], "left_anti"), paths)
+    if not more.isEmpty():
+        rooted = components(links.unionByName(_verified(more, rows, docs, doc_id, text, shingle, ratio, paths)))
+    firsts = least_rows(rows, "node", doc_id)
+    marked = firsts.join(rooted.toDF("_node", "_root"), F.col("node") == F.col("_node"), "left")
+    marked = cut_lineage(marked.select(doc_id, "row", F.coalesce("_root", "node").alias("root")))
+    for path in paths:
+        drop_path(docs.sparkSession, path)
+    return first_rows(docs, marked, doc_id)

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.sizing import dealt_anew
 from ..session import cut_lineage
@@ -42,17 +42,17 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * ones > count).tolist())
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``(doc_id, fp)`` of every row; ``fp`` holds the 64 bits in a signed long."""
-    schema = T.StructType([docs.schema[doc_id], T.StructField("fp", T.LongType())])
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, seed: int = 42, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, *keep, fp)`` of every row; ``fp`` holds the 64 bits in a signed long."""
+    schema = T.StructType([*[docs.schema[c] for c in (doc_id, *keep)], T.StructField("fp", T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
             made = [fingerprint(t, shingle, seed) for t in texts(piece, text)]
             signed = np.array(made, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([piece.column(doc_id), pa.array(signed)], names=[doc_id, "fp"])
+            yield pa.RecordBatch.from_arrays([*map(piece.column, (doc_id, *keep)), pa.array(signed)], names=[doc_id, *keep, "fp"])
 
-    return docs.select(doc_id, text).mapInArrow(run, schema)
+    return docs.select(doc_id, *keep, text).mapInArrow(run, schema)
 
 
 def covering_masks(radius: int = 3) -> list[int]:
@@ -126,6 +126,17 @@ def _edges(fps: np.ndarray, bounds: np.ndarray, radius: int) -> tuple[np.ndarray
     return np.concatenate([none, *lefts]), np.concatenate([none, *rights])
 
 
+def _nodes(
+    docs: DataFrame, radius: int = 3, shingle: int = 3, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with their fingerprint, and every fingerprint with its least id and the root of its component."""
+    rows = cut_lineage(fingerprints(docs, doc_id, text, shingle, keep=keep))
+    distinct = cut_lineage(rows.groupBy("fp").agg(F.min(doc_id).alias("least")))
+    rooted = components(links(distinct.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
+    # Only linked fingerprints have a root; all others are their own component.
+    return rows, distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint and component_id.
 
@@ -138,11 +149,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, doc_id:
     the smallest id of their component, null if it has none.  Repeated rows are
     kept; other columns of ``docs`` are ignored.
     """
-    rows = cut_lineage(fingerprints(docs, doc_id, text, shingle))
-    distinct = cut_lineage(rows.groupBy("fp").agg(F.min(doc_id).alias("least")))
-    rooted = components(links(distinct.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
-    # Only linked fingerprints have a root; all others are their own component.
-    known = distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rows, known = _nodes(docs, radius, shingle, doc_id, text)
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
     least = least.select(dealt_anew(least, "root").alias("root"), "component_id")
     named = known.select("fp", "root").join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
@@ -150,6 +157,33 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, doc_id:
     return rows.join(named, F.col("fp") == F.col("_fp"), "left").select(doc_id, digits.alias("fingerprint"), "component_id")
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns, which names a row beside its id."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def least_rows(rows: DataFrame, group: str, doc_id: str) -> DataFrame:
+    """The row (doc_id, row) with the smallest id, then the smallest hash, of every group that has an id."""
+    named = rows.where(F.col(doc_id).isNotNull())
+    first = named.groupBy(group).agg(F.min(F.struct(F.col(doc_id), F.col("row"))).alias("_first"))
+    return first.select(group, F.col("_first")[doc_id].alias(doc_id), F.col("_first")["row"].alias("row"))
+
+
+def first_rows(docs: DataFrame, marked: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """One row of ``docs`` for each ``root`` of ``marked`` (doc_id, row, root): the smallest id, then the smallest hash.
+
+    Rows are chosen, not ids: an id that occurs with texts of two groups may be
+    chosen for both.  Of equal rows one is kept.  A row without an id cannot be
+    named as a duplicate and stays.
+    """
+    chosen = least_rows(marked, "root", doc_id).select(F.col(doc_id).alias("_kept_id"), F.col("row").alias("_kept_row"))
+    hashed = docs.withColumn("_row_hash", row_hash(docs))
+    same = (F.col(doc_id) == F.col("_kept_id")) & (F.col("_row_hash") == F.col("_kept_row"))
+    # The semi join has dealt the rows by id and hash, so dropping equal rows needs no further shuffle.
+    first = hashed.join(chosen, same, "left_semi").dropDuplicates([doc_id, "_row_hash"]).drop("_row_hash")
+    return first.unionByName(docs.where(F.col(doc_id).isNull()))
+
+
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """One document of each component: the one with its smallest id.
 
