@@ -74,26 +74,36 @@ for _fmt in ("table", "json", "csv"):
         return store.read("events")
 
 
+def write_arrays(docs, path, array_bytes=64 << 20, text="text"):
+    """One JSON array per file, of about ``array_bytes`` of text; the number of files grows with the table.
+
+    Rows are dealt by a hash of all their columns, so neither their ids nor their order make an array larger.
+    """
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 64
+    total = docs.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+    dealt = F.pmod(F.xxhash64(*docs.columns), F.lit(max(16, -(-total // array_bytes)))).alias("slice")
+    slices = docs.groupBy(dealt).agg(F.collect_list(F.struct(*docs.columns)).alias("rows"))
+    slices.select("slice", F.to_json("rows").alias("value")).write.partitionBy("slice").text(path)
+
+
 @check("import_json_array", "SELECT doc_id, text, lang FROM documents")
 def json_array(spark, folder):
     """Files that hold one JSON array each, as other tools write them."""
     docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
     path = work_path(spark, "arrays")
-    # One array per slice of the ids; a slice is as large as one file of such a tool.
-    slices = docs.groupBy((F.col("doc_id") % 16).alias("slice")).agg(F.collect_list(F.struct("doc_id", "text", "lang")).alias("rows"))
-    slices.select(F.to_json("rows").alias("value")).repartition(16).write.text(path)
-    return import_json_array(spark, path, docs.schema)
+    write_arrays(docs, path)
+    return import_json_array(spark, path, docs.schema).select(*docs.columns)
 
 
 @check("import_csv", "SELECT doc_id, text, lang FROM documents WHERE length(text) > 0")
 def foreign_csv(spark, folder):
-    """CSV files whose columns come in two orders."""
-    docs = load(spark, folder, "documents").select("doc_id", "text", "lang").where("length(text) > 0")
+    """CSV files whose columns come in two orders; rows without text are read as well and left out of the result only."""
+    docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
     path = work_path(spark, "foreign")
     for part, names in ((0, ["doc_id", "text", "lang"]), (1, ["lang", "doc_id", "text"])):
         some = docs.where(F.col("doc_id") % 2 == part).select(*names)
         some.write.csv(path, header=True, escape='"', quoteAll=True, mode="append")
-    return import_csv(spark, path, docs.schema)
+    return import_csv(spark, path, docs.schema).where("length(text) > 0")
 
 
 @check(
