@@ -59,16 +59,16 @@ def _active(keyed: DataFrame, intervals: DataFrame, kind: str) -> DataFrame:
 
 
 def filter_urls(
-    captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_on", most_labels: int = 8
+    captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_on", most_labels: int | None = None
 ) -> DataFrame:
     """Captures with the verdict of the lists as they stood on the day of the fetch.
 
     Adds host, blocks, allows, lists (sorted names of the blocking lists, comma-joined) and blocked.
     A host entry covers the host and everything below it, an url entry one
     address.  A capture is blocked if a blocking entry holds and no allowing
-    one.  Entries for hosts are looked up for the whole host and for its last
-    one to ``most_labels`` labels, so an entry for a host of more labels only
-    matches that host itself.
+    one.  Entries for hosts are looked up for every run of last labels of a host,
+    whatever their number.  With ``most_labels`` only the whole host and its
+    last one to ``most_labels`` labels are looked up.
 
     The as-of join runs over distinct (host, day) and (address, day), not over
     captures: a host with a third of all captures is one row per day there.
@@ -86,8 +86,9 @@ def filter_urls(
     intervals = validity(entries)
     hosts = seen.select(F.col("_host").alias("key"), F.col("_day").alias("day")).distinct().na.drop()
     labels = F.split("key", r"\.")
+    depth = F.size(labels) if most_labels is None else F.least(F.size(labels), F.lit(most_labels))
     below = F.transform(
-        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most_labels))),
+        F.sequence(F.lit(1), depth),
         lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."),
     )
     patterns = F.array_distinct(F.concat(below, F.array("key")))
