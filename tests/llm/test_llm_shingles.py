@@ -90,3 +90,11 @@ def test_forest_of_candidates():
         near[a, b] = near[b, a] = True
     left, right = shingles._forest(6, lambda i: i + 1 + np.flatnonzero(near[i, i + 1 :]), 10)
     assert len(left) == 3 and all(near[a - 10, b - 10] for a, b in zip(left, right))
+
+
+def test_simhash_keeps_rows_not_ids(spark):
+    long, other = " ".join(f"word{i}" for i in range(40)), " ".join(f"other{i}" for i in range(40))
+    rows = [(1, long), (2, long), (2, other), (2, other), (None, long)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], DOCS)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_first(docs).collect()), key=repr)
+    assert kept == sorted([(1, long), (2, other), (None, long)], key=repr)

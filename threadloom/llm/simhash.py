@@ -185,13 +185,8 @@ def first_rows(docs: DataFrame, marked: DataFrame, doc_id: str = "doc_id") -> Da
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """One document of each component: the one with its smallest id.
-
-    Of rows that repeat an id one is kept.  A row without an id cannot be named
-    as a duplicate and stays.
-    """
-    found = near_duplicates(docs, doc_id=doc_id, **options)
-    chosen = found.where(F.col("component_id") == F.col(doc_id)).select(F.col(doc_id).alias("_kept_id")).distinct()
-    # The semi join has dealt the rows by id, so dropping repeated ids needs no further shuffle.
-    first = docs.join(chosen, F.col(doc_id) == F.col("_kept_id"), "left_semi").dropDuplicates([doc_id])
-    return first.unionByName(docs.where(F.col(doc_id).isNull()))
+    """One row of each component: the one with its smallest id; see ``first_rows``."""
+    hashed = docs.withColumn("_row_hash", row_hash(docs))
+    rows, known = _nodes(hashed, doc_id=doc_id, keep=("_row_hash",), **options)
+    firsts = least_rows(rows.select(doc_id, F.col("_row_hash").alias("row"), "fp"), "fp", doc_id)
+    return first_rows(docs, firsts.join(known.select("fp", "root"), "fp"), doc_id)
