@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
 
@@ -32,6 +32,16 @@ def texts(batch: pa.RecordBatch, name: str) -> list[str]:
     return ["" if t is None else t for t in batch.column(name).to_pylist()]
 
 
+def fresh(stem: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, whatever the case of its letters."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    name, n = stem, 0
+    while name.lower() in taken:
+        n += 1
+        name = f"{stem}{n}"
+    return name
+
+
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .batches import pieces, texts
+from .batches import fresh, pieces, texts
 from .files import pack, share, unpack
 
 # The code points of white space.
@@ -367,4 +367,5 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options)
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents without any benchmark passage, with their own columns."""
-    return find_passages(docs, items, name="_passages", **options).where(F.size("_passages") == 0).select(*docs.columns)
+    name = fresh("_passages", docs)
+    return find_passages(docs, items, name=name, **options).where(F.size(name) == 0).drop(name)

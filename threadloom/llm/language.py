@@ -213,7 +213,7 @@ def identify(
     kept = [c for c in docs.columns if c not in (name, score)]
     sample = training_sample(docs, label, text, sample_bytes)
     if not sample:
-        return docs.select(*kept, F.lit(UNDETERMINED).alias(name), F.lit(0.0).alias(score))
+        return docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(UNDETERMINED).alias(name), F.lit(0.0).alias(score))
     model = Model(sample)
     content, layout = model.packed()
     file, languages, size = share(docs.sparkSession, content, "language"), model.languages, model.size

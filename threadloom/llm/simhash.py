@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..operators.dedup import _hashable
 from ..operators.sizing import dealt_anew
 from ..session import cut_lineage
-from .batches import pieces, texts
+from .batches import fresh, pieces, texts
 from .cells import deal, forest, grouped, units
 from .components import components
 
@@ -158,8 +159,9 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, doc_id:
 
 
 def row_hash(docs: DataFrame) -> Column:
-    """A hash of all columns, which names a row beside its id."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    """A hash of all columns that can be hashed, which names a row beside its id; maps and variants cannot."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if _hashable(f.dataType)]
+    return F.xxhash64(*plain) if plain else F.lit(0).cast("long")
 
 
 def least_rows(rows: DataFrame, group: str, doc_id: str) -> DataFrame:
@@ -176,17 +178,22 @@ def first_rows(docs: DataFrame, marked: DataFrame, doc_id: str = "doc_id") -> Da
     chosen for both.  Of equal rows one is kept.  A row without an id cannot be
     named as a duplicate and stays.
     """
-    chosen = least_rows(marked, "root", doc_id).select(F.col(doc_id).alias("_kept_id"), F.col("row").alias("_kept_row"))
-    hashed = docs.withColumn("_row_hash", row_hash(docs))
-    same = (F.col(doc_id) == F.col("_kept_id")) & (F.col("_row_hash") == F.col("_kept_row"))
+    row, kept_id, kept_row = (fresh(n, docs) for n in ("_row_hash", "_kept_id", "_kept_row"))
+    chosen = least_rows(marked, "root", doc_id).select(F.col(doc_id).alias(kept_id), F.col("row").alias(kept_row))
+    hashed = docs.withColumn(row, row_hash(docs))
+    same = (F.col(doc_id) == F.col(kept_id)) & (F.col(row) == F.col(kept_row))
     # The semi join has dealt the rows by id and hash, so dropping equal rows needs no further shuffle.
-    first = hashed.join(chosen, same, "left_semi").dropDuplicates([doc_id, "_row_hash"]).drop("_row_hash")
+    first = hashed.join(chosen, same, "left_semi").dropDuplicates([doc_id, row]).drop(row)
     return first.unionByName(docs.where(F.col(doc_id).isNull()))
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """One row of each component: the one with its smallest id; see ``first_rows``."""
-    hashed = docs.withColumn("_row_hash", row_hash(docs))
-    rows, known = _nodes(hashed, doc_id=doc_id, keep=("_row_hash",), **options)
-    firsts = least_rows(rows.select(doc_id, F.col("_row_hash").alias("row"), "fp"), "fp", doc_id)
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of each component: the one with its smallest id; see ``first_rows``.
+
+    All columns of ``docs`` come back as they were, whatever their names and types.
+    """
+    row = fresh("_row_hash", docs)
+    hashed = docs.select(doc_id, text, row_hash(docs).alias(row))
+    rows, known = _nodes(hashed, doc_id=doc_id, text=text, keep=(row,), **options)
+    firsts = least_rows(rows.select(doc_id, F.col(row).alias("row"), "fp"), "fp", doc_id)
     return first_rows(docs, firsts.join(known.select("fp", "root"), "fp"), doc_id)
