@@ -9,27 +9,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadloom.llm import bpe, decontaminate, language, secrets, shingles
-from threadloom.llm.batches import ready
+from threadloom.llm import bpe, decontaminate, language, secrets, simhash
+from threadloom.llm.batches import fresh, ready
 from threadloom.session import drop_path, work_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: A document goes if its language is undetermined or the belief in the best one is lower.
 LEAST_BELIEF = 0.5
+#: Words of a shingle, and the bits by which linked fingerprints may differ.
+SHINGLE, MOST_BITS = 3, 3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the learnt languages."""
     ready(spark)
-    told = language.identify(docs, name="_lang_pred", score="_lang_score")
-    sure = (F.col("_lang_pred") != language.UNDETERMINED) & (F.col("_lang_score") >= LEAST_BELIEF)
-    return told.where(sure).select(*docs.columns)
+    name, score = fresh("_lang_pred", docs), fresh("_lang_score", docs)
+    told = language.identify(docs, name=name, score=score)
+    sure = (F.col(name) != language.UNDETERMINED) & (F.col(score) >= LEAST_BELIEF)
+    return told.where(sure).drop(name, score)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, Jaccard from 0.8), the one with the smallest id."""
+    """One document of each component of near fingerprints, the one with the smallest id."""
     ready(spark)
-    return shingles.keep_first(docs)
+    return simhash.keep_first(docs, radius=MOST_BITS, shingle=SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +44,16 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced by ``[secret]`` and n_chars counted anew."""
     ready(spark)
-    masked = secrets.find_secrets(docs, name="_spans", masked="_masked")
-    changed = F.size("_spans") > 0
+    spans, hidden = fresh("_spans", docs), fresh("_masked", docs)
+    masked = secrets.find_secrets(docs, name=spans, masked=hidden)
+    changed = F.size(spans) > 0
     return masked.select(
         *[
-            F.when(changed, F.col("_masked")).otherwise(F.col("text")).alias("text")
+            F.when(changed, F.col(hidden)).otherwise(F.col("text")).alias("text")
             if c == "text"
-            else F.when(changed, F.char_length("_masked").cast("long")).otherwise(F.col(c)).alias(c)
+            else F.when(changed, F.char_length(hidden).cast("long")).otherwise(F.col(c)).alias(c)
             if c == "n_chars"
-            else F.col(c)
+            else F.col(f"`{c}`")
             for c in docs.columns
         ]
     )
