@@ -4,6 +4,7 @@ import re
 
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from threadloom.llm import bpe, language, secrets
@@ -79,3 +80,21 @@ def test_edges(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
     assert sorted((r.doc_id, r.text, r.n_chars) for r in docs.collect()) == [(2, "plain words of text", 19), (3, "[secret] here", 13)]
+
+
+EXTRA = "_row_hash _kept_id _Passages _lang_pred _lang_score _masked _spans spans passages lang_pred score".split()
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:-1], ids=lambda s: s[0])
+def test_extra_columns_come_back(spark, stage):
+    rows = [(i, f"plain words of text number {i} and nothing more", "en", "a", 40) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in EXTRA:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}-"), F.col("doc_id")))
+    docs = docs.withColumn("tags", F.create_map(F.lit("id"), F.col("doc_id")))
+    got = stage[1](spark, docs, SF)
+    assert got.columns == docs.columns
+    after = got.collect()
+    assert after
+    for row in after:
+        assert all(row[name] == f"{name}-{row.doc_id}" for name in EXTRA) and row.tags == {"id": row.doc_id}
