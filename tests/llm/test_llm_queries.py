@@ -13,8 +13,8 @@ def test_sql(spark, name):
     assert good, note
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("number", [1, 2, 3, 4, 6, 10])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, language, lattice, secrets, sharding, simhash, urls, wordpiece
+from . import bpe, chat, decontaminate, language, lattice, secrets, sharding, simhash, urls, variants, wordpiece
 from .batches import ready
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -205,3 +205,12 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Word-piece lengths of every document."""
     docs = load(spark, folder, "documents").select("doc_id", "text")
     return wordpiece.count_tokens(docs, *wordpiece.vocabulary(TOKENIZER)).drop("text")
+
+
+# --- 11: spelling variants
+
+
+@register("op11_variants")
+def op11_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of the documents with its form and root."""
+    return variants.spelling_variants(load(spark, folder, "documents"))
