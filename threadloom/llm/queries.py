@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, language, lattice, secrets, sharding, simhash, urls, variants, wordpiece
+from . import bpe, chat, decontaminate, language, lattice, mixing, secrets, sharding, simhash, urls, variants, wordpiece
 from .batches import ready
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -214,3 +214,37 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op11_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Every word of the documents with its form and root."""
     return variants.spelling_variants(load(spark, folder, "documents"))
+
+
+# --- 12: mixing sources
+
+MIX_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_, doc_id, source,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS key
+  FROM documents),
+s AS (
+  SELECT *, 3 * source_size AS most, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)),
+o AS (
+  SELECT *, row_number() OVER w AS k, sum(source_size) OVER () - (sum(most) OVER w - most) AS rest,
+         sum(weight) OVER () - (sum(weight) OVER w - weight) AS weights
+  FROM s WINDOW w AS (ORDER BY most / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+v AS (SELECT arg_min(rest, k) AS rest, arg_min(weights, k) AS weights FROM o WHERE rest * weight <= most * weights),
+t AS (SELECT source, source_size, least(CAST(v.rest * weight AS DOUBLE) / v.weights, CAST(most AS DOUBLE)) AS target FROM s, v),
+q AS (
+  SELECT d.*, t.source_size, t.target, sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS end_
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (
+  SELECT row_, size, source, pass, key, CAST((pass - 1) * source_size + end_ AS DOUBLE) / target AS finish
+  FROM (SELECT *, unnest(range(1, CAST(least(3, floor(target / greatest(source_size, 1)) + 1) AS BIGINT) + 1)) AS pass FROM q WHERE size > 0)),
+l AS (SELECT row_, size, sum(size) OVER (ORDER BY finish, source NULLS LAST, pass, key, row_ ROWS UNBOUNDED PRECEDING) AS line FROM c),
+a AS (SELECT row_, CAST(sum(size) AS BIGINT) AS taken FROM l WHERE line <= (SELECT sum(size) FROM d) GROUP BY row_)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM q LEFT JOIN a USING (row_)"""
+
+
+@register("op12_mix", MIX_SQL)
+def op12_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of every document the mix takes."""
+    return mixing.mix(load(spark, folder, "documents"))
