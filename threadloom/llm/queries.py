@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, language, lattice, mixing, secrets, sharding, simhash, urls, variants, wordpiece
+from . import bpe, chat, decontaminate, language, lattice, mixing, secrets, sharding, simhash, urls, variants, whitening, wordpiece
 from .batches import ready
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -248,3 +248,12 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM q LEF
 def op12_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How much of every document the mix takes."""
     return mixing.mix(load(spark, folder, "documents"))
+
+
+# --- 13: whitening
+
+
+@register("op13_whiten")
+def op13_whiten(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable vector on the leading components, scaled to variance one."""
+    return whitening.whiten(load(spark, folder, "embeddings"))
