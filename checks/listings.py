@@ -10,10 +10,13 @@ from threadloom.operators.rank import comment_listing, listing
 from threadloom.operators.search import search
 from threadloom.operators.sizing import spread
 from threadloom.plans.collect import posts_with_comments
+from threadloom.session import work_path
 from threadloom.sources.normalize import normalize_comments, normalize_posts
+from threadloom.sources.store import Store
 
 from .registry import RAW_COMMENTS_SQL, RAW_POSTS_SQL, check, load, raw_comments, raw_posts
 from .rows import STORED_COMMENTS_SQL, STORED_POSTS_SQL
+from .stores import schema_of
 from .texts import tokens_sql
 
 AS_OF = dt.datetime(2001, 8, 1)
@@ -176,7 +179,7 @@ QUERY = "The information: en thereed!"
 TERMS = ("information", "en", "thereed")
 
 
-def bm25_sql(rank: str = "relevance", limit: int = 50) -> str:
+def bm25_sql(rank: str = "relevance", limit: int = 50, table: str = "documents") -> str:
     tf = ", ".join(
         f"CAST(len(list_filter(ws, lambda w: w = '{t}')) AS DOUBLE) AS tf{i}" for i, t in enumerate(TERMS)
     )
@@ -186,7 +189,7 @@ def bm25_sql(rank: str = "relevance", limit: int = 50) -> str:
         for i in range(len(TERMS))
     )
     some = " OR ".join(f"tf{i} > 0" for i in range(len(TERMS)))
-    return f"""WITH words AS (SELECT doc_id, n_chars, {tokens_sql("source || ' ' || text")} AS ws FROM documents),
+    return f"""WITH words AS (SELECT doc_id, n_chars, {tokens_sql("source || ' ' || text")} AS ws FROM {table}),
     counted AS (SELECT doc_id, n_chars, len(ws) AS len_, {tf} FROM words),
     figures AS (SELECT count(*) AS n, avg(len_) AS mean, {seen} FROM counted),
     scored AS (SELECT doc_id, n_chars, {weight} AS relevance FROM counted, figures WHERE {some})
@@ -210,3 +213,45 @@ def search_relevance(spark, folder):
 @check("search_top", bm25_sql("n_chars"))
 def search_top(spark, folder):
     return document_search(spark, folder, "top")
+
+
+def indexed(spark, folder, label):
+    docs = load(spark, folder, "documents")
+    schemas = {"documents": schema_of(docs, "doc_id")}
+    store = Store(spark, "table", work_path(spark, label), "doc_id", schemas, search={"documents": ["source", "text"]})
+    store.save("documents", docs, order_by=None)
+    return store, docs
+
+
+def stored_search(store, **options):
+    found = store.search("documents", QUERY, 50, created="doc_id", score="n_chars", comments="n_chars", **options)
+    return found.select("doc_id", F.round("relevance", 6).alias("relevance"))
+
+
+@check("search_index", bm25_sql())
+def search_index(spark, folder):
+    """The best posts from stored postings; blocks that cannot hold one are skipped."""
+    store, _ = indexed(spark, folder, "indexed")
+    return stored_search(store)
+
+
+@check("search_index_top", bm25_sql("n_chars"))
+def search_index_top(spark, folder):
+    """All matches from stored postings, in another order."""
+    store, _ = indexed(spark, folder, "indexed-top")
+    return stored_search(store, sort_by="top")
+
+
+@check(
+    "search_index_upsert",
+    "WITH changed AS (SELECT doc_id, n_chars, source, CASE doc_id % 3 WHEN 0 THEN 'information ' || lang WHEN 1 THEN text || ' thereed' ELSE text END AS text FROM documents), "
+    + bm25_sql(table="changed").removeprefix("WITH "),
+)
+def search_index_upsert(spark, folder):
+    """Two batches replace two thirds of the posts; the postings follow, and replaced texts are no longer found or counted."""
+    store, docs = indexed(spark, folder, "indexed-upsert")
+    third = lambda n: F.col("doc_id") % 3 == n
+    store.save("documents", docs.where(third(1)).withColumn("text", F.concat("text", F.lit(" gone thereed"))), order_by=None)
+    new = F.when(third(0), F.concat(F.lit("information "), "lang")).otherwise(F.concat("text", F.lit(" thereed")))
+    store.save("documents", docs.where(~third(2)).withColumn("text", new), order_by=None)
+    return stored_search(store)

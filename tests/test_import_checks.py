@@ -34,6 +34,4 @@ def test_csv_rows_without_text_are_read(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     got = foreign_csv(spark, str(tmp_path))
-    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(3, 'a "b",\nc'), (4, "d")]
-    files = [f for f in got.inputFiles() if f.endswith(".csv")]
-    assert import_csv(spark, files[0].rsplit("/", 1)[0], docs.schema).count() == 4
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, None), (2, None), (3, 'a "b",\nc'), (4, "d")]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import relaxed
+from . import ranges
 
 # Store names and the file format behind each.
 FORMATS = {"table": "parquet", "parquet": "parquet", "sqlite": "parquet", "json": "json", "csv": "csv"}
@@ -68,34 +71,57 @@ def write_files(df: DataFrame, fmt: str, path: str, mode: str = "errorifexists")
 
 
 def import_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read files that hold one JSON array each, with ISO-8601 timestamps.
+    """Read files that hold one JSON array of objects each, with ISO-8601 timestamps.
 
-    Such a file cannot be split, so one task parses it; convert large
-    collections to a store (JSON Lines or Parquet) once.
+    A file of any size is read by many tasks, each one byte range (see
+    ``ranges``); records are parsed by Spark.  A file that does not end with its
+    array, an element that is no object and a damaged record are errors.  The
+    files are read once here and twice when the rows are asked for.
     """
-    return spark.read.schema(relaxed(schema)).json(path, multiLine=True, mode="FAILFAST")
+    fragments = ranges.read_fragments(spark, path, ranges.JSON_ARRAY)
+    states = ranges.range_states(fragments, ranges.JSON_ARRAY)
+    ranges.check_ends(states, ranges.JSON_ARRAY)
+    found = ranges.records(fragments, states, ranges.JSON_ARRAY, ranges.json_record)
+    return found.select(F.from_json("text", relaxed(schema), _STRICT).alias("record")).select("record.*")
 
 
 def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read CSV files written by other tools, where an empty field means null.
 
     Columns are taken by each file's own header, in any order; a column that a
-    file lacks is null there.  Columns outside ``schema`` are read as text.  The
-    headers cost one short job per file, and files with equal headers are read
-    together.
+    file lacks is null there.  Columns outside ``schema`` are read as text.  A file
+    of any size is read by many tasks, also where fields hold line breaks:
+    quotes are counted by byte range (see ``ranges``).  Fields with quotes or line breaks
+    must be quoted, quotes in them doubled.  All headers come from the pass
+    that counts, and files with different headers are parsed side by side.
     """
     kinds = {f.name: f.dataType for f in schema}
-    reader = spark.read.options(header=True, escape='"', multiLine=True, mode="FAILFAST")
-    found = spark.read.text(path).inputFiles()
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(found):
-        groups.setdefault(tuple(reader.csv(file).columns), []).append(file)
-    if not groups:
+    options = {"escape": '"', "multiLine": "true", **_STRICT}
+    fragments = ranges.read_fragments(spark, path, ranges.CSV)
+    states = ranges.range_states(fragments, ranges.CSV)
+    ranges.check_ends(states, ranges.CSV)
+    heads = {r["path"]: r["first"] for r in states.where(F.col("start") == 0).select("path", "first").collect()}
+    if any(head is None for head in heads.values()):  # longer than a range
+        found = ranges.records(fragments, states, ranges.CSV, ranges.csv_record)
+        heads |= {r["path"]: r["text"] for r in found.where("first").select("path", "text").collect()}
+    groups: dict[str, list[str]] = {}
+    for file, head in heads.items():
+        groups.setdefault((head or "").removeprefix("\ufeff").removesuffix("\r"), []).append(file)
+    if "" in groups:
+        raise ValueError(f"{groups[''][0]} has no header in its first line")
+    found = ranges.records(fragments, states, ranges.CSV, ranges.csv_record).where(~F.col("first"))
+    named = [(file, i) for i, (_, files) in enumerate(sorted(groups.items())) for file in files]
+    headers = spark.createDataFrame(named, "path string, header int")
+    parsed, columns = [], {}
+    for i, header in enumerate(sorted(groups)):
+        names = next(csv.reader(io.StringIO(header, newline="")))
+        fields = {n: kinds.get(n, T.StringType()) for n in names}
+        ddl = ", ".join(f"`{n.replace('`', '``')}` {kind.simpleString()}" for n, kind in fields.items())
+        parsed.append(F.when(F.col("header") == i, F.from_csv("text", ddl, options)).alias(f"by{i}"))
+        for name, kind in fields.items():
+            columns.setdefault(name, (kind, []))[1].append(F.col(f"by{i}").getField(name))
+    if not parsed:
         return spark.createDataFrame([], relaxed(schema))
-
-    def load(names: tuple[str, ...], files: list[str]) -> DataFrame:
-        header = T.StructType([T.StructField(n, kinds.get(n, T.StringType()), True) for n in names])
-        return reader.schema(header).csv(files)
-
-    parts = [load(names, files) for names, files in groups.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # One header is the rule; files with others are parsed in the same pass.
+    marked = found.withColumn("header", F.lit(0)) if len(groups) == 1 else found.join(headers, "path")
+    return marked.select(*parsed).select(*[F.coalesce(*values).alias(n) for n, (_, values) in columns.items()])

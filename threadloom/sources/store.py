@@ -27,8 +27,9 @@ from ..operators.filters import by_equality
 from ..operators.relate import known
 from ..operators.upsert import Order, latest_rows, merge_columns, replace_rows
 from ..schemas import TABLES, relaxed, required
-from ..session import size_shuffles
+from ..session import cut_lineage, size_shuffles
 from .files import file_format, read_files, write_files
+from .search_index import SearchIndex
 
 
 def reject_reasons(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -75,6 +76,9 @@ class Store:
     After ``max_parts`` parts the next save gathers them into one sum, or, when
     they have grown beyond a quarter of the full folder, writes the whole table
     again.  With ``max_parts=0`` every save writes the whole table.
+
+    ``search`` names the text columns of tables that are to be searched: their
+    postings are brought up to date by every save (see ``search_index``).
     """
 
     def __init__(
@@ -85,6 +89,7 @@ class Store:
         key: str = "id",
         schemas: Mapping[str, T.StructType] | None = None,
         max_parts: int = 8,
+        search: Mapping[str, Sequence[str]] | None = None,
     ):
         self.spark = spark
         self.fmt = fmt.lower()
@@ -93,6 +98,7 @@ class Store:
         self.key = key
         self.schemas = dict(schemas or TABLES)
         self.max_parts = max_parts
+        self.search_fields = dict(search or {})
 
     # Folders -----------------------------------------------------------------
 
@@ -244,7 +250,7 @@ class Store:
         """
         layers = self._layers(table, None)
         size_shuffles(batch, stored_bytes=self._bytes(table, layers))
-        rows = self.changes(table, batch, order_by, unique_order, keep_newer)
+        rows = batch_rows = self.changes(table, batch, order_by, unique_order, keep_newer)
         later = layers[1:]
         if not layers:
             kind = "full"
@@ -257,9 +263,32 @@ class Store:
             kind = "full"
             rows = replace_rows(self._rows(table, layers), rows, self.key, order_by=None)
         number = max(self._folders(table, committed=False), default=0) + 1
-        write_files(rows, self.kind, f"{self.root}/{table}/{kind}-{number:08d}")
+        path = f"{self.root}/{table}/{kind}-{number:08d}"
+        if table not in self.search_fields:
+            write_files(rows, self.kind, path)
+            return number
+        if kind == "sum":  # the rows written are more than the batch's
+            batch_rows = cut_lineage(batch_rows)
+            rows = self._newest(table, later, batch_rows)
+        write_files(rows, self.kind, path)
+        written = self._layer(table, f"{kind}-{number:08d}")
+        self.index(table).update(batch_rows if kind == "sum" else written, number, whole=kind == "full")
         return number
 
+    def index(self, table: str) -> SearchIndex:
+        """The postings of a table that was named for search."""
+        return SearchIndex(self.spark, f"{self.root}/{table}-postings", self.key, self.search_fields[table])
+
+    def search(self, table: str, query: str, limit: int | None = 100, **options) -> DataFrame:
+        """The rows of a table that match a query, from its stored postings.
+
+        Should a save have ended between the table and its postings, the whole table is indexed again first.
+        """
+        index = self.index(table)
+        if index.version != self.version(table):
+            index.update(self.read(table), self.version(table), whole=True)
+        return index.search(self.read(table), query, limit, **options)
+
     def save_posts(self, batch: DataFrame, **options) -> int:
         return self.save("posts", batch, **options)
 
