@@ -268,6 +268,80 @@ def test_banded_alignment():
         assert got[0] == full(a, b[: len(a) + width])
 
 
+def least_edits(pattern, text):
+    """Edits of the pattern against its best place in the text."""
+    row = [0] * (len(text) + 1)
+    for x in pattern:
+        new = [row[0] + 1]
+        for j, y in enumerate(text):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def between(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[-1] + 1))
+        row = new
+    return row[-1]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_against_exhaustive_alignment(seed):
+    """Every passage of the certain length within its edits is found, and nothing else."""
+    rng = random.Random(seed)
+    letters = "ab-" if seed % 2 else "abcdefgh "
+    some = lambda n: "".join(rng.choice(letters) for _ in range(n)) if seed % 3 else "-" * (n // 2) + "".join(rng.choice(letters) for _ in range(n - n // 2))
+    limits = decontaminate.Limits(q=5, error=0.1, least=30, fuzzy=12, shortest=4, q2=3)
+    items = [(i, squeeze(some(rng.choice([34, 40, 25, 60])))) for i in range(8)]
+    items = [(i, t) for i, t in items if len(t) >= 12]
+    searcher = decontaminate.Searcher(decontaminate.ItemIndex(items, limits), limits)
+    searcher.MOST_HITS = rng.choice([40, 4_000_000])
+    for _ in range(12):
+        text = some(rng.randint(0, 60))
+        for _ in range(rng.randint(0, 2)):
+            _, item = rng.choice(items)
+            at = rng.randint(0, max(0, len(item) - 30))
+            text += edit(item[at : at + 30], rng.randint(0, 5), rng) + some(rng.randint(0, 20))
+        clean = squeeze(text + "x")[:-1]
+        found = {hit[0]: hit for hit in searcher.search(text)}
+        for i, item in items:
+            size = min(len(item), limits.least)
+            edits = int(limits.edits(size))
+            best = min(least_edits(item[k : k + size], clean) for k in range(len(item) - size + 1))
+            if best <= edits:
+                assert i in found, (item, clean)
+            if i in found:
+                _, start, end, first, last, cost = found[i]
+                assert last - first >= size and cost <= limits.edits(last - first)
+                assert between(item[first:last], squeeze("x" + text[start:end] + "x")[1:-1]) <= cost
+
+
+def test_repeated_characters_end():
+    """Long lines of one character on both sides; runs of hits that pause for longer than an item."""
+    rng = random.Random(1)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    limits = decontaminate.Limits()
+    few = decontaminate.Searcher(decontaminate.ItemIndex([(i, words(20) + "\n" + "-" * 60 + "\n" + words(20)) for i in range(60)], limits), limits)
+    assert few.search("\n".join(["-" * 60] * 50)) == []
+    many = decontaminate.Searcher(decontaminate.ItemIndex([(i, words(20) + "\n" + "-" * 200 + "\n" + words(20)) for i in range(120)], limits), limits)
+    many.MOST_HITS = 5_000
+    assert len(many.search("-" * 200 + words(3000) + "\n" + "-" * 200)) == 120
+
+
+def test_short_items_and_items_without_an_id(spark):
+    items = spark.createDataFrame([(1, "What is the capital city of France?"), (None, " The  Answer is\nforty-two "), (None, None), (4, "Paris"), (5, "forty-two apples and forty-two pears")], "item_id long, text string")
+    rows = [(1, "Q: what is the Capital\ncity of FRANCE? Paris."), (2, "the answer is forty-two, the answer is forty-two"), (3, "the answer is forty-twos"), (4, "xwhat is the capital city of france?"), (5, "forty-two apples and forty-two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [tuple(p)[:3] for p in r.passages] for r in decontaminate.find_passages(docs, items).collect()}
+    assert got == {1: [(1, 3, 38)], 2: [(None, 0, 23)], 3: [], 4: [], 5: []}
+    all_lengths = decontaminate.Limits(shortest=1)
+    assert {r.item_id for r in decontaminate.leaks(docs, items, limits=all_lengths).collect()} == {1, 4, None}
+
+
 def test_passage_edges(spark):
     passage = "the quick brown fox jumps over the lazy dog while seven wizards brew a potion of mandrake root tonight"
     items = spark.createDataFrame([(1, passage, 0), (2, None, 0), (3, "short", 0), (4, "", 0), (1, passage, 0)], "item_id long, text string, start int")
