@@ -4,9 +4,9 @@ Below the root every indexed batch is one numbered folder with four tables:
 
 * ``postings``: one row per (term, block): the number of posts, the largest term
   count, the smallest post length and the posts themselves.  A block is
-  up to ``block_rows`` posts of the batch, the same posts for all terms.  Rows are
-  sorted by term, so that a filter on terms reads the files and row groups of
-  these terms only.
+  about ``block_rows`` posts of the batch, the same posts for all terms.  Terms are
+  dealt to folders by a hash and sorted in each file, so that a filter on terms
+  reads the folders, row groups and pages of these terms only.
 * ``posts``: key, block and length of every post of the batch.
 * ``dead``: posts of earlier batches that this batch replaces.
 * ``figures``: number of posts and words; written last, it commits the folder.
@@ -17,6 +17,7 @@ Below the root every indexed batch is one numbered folder with four tables:
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from collections.abc import Sequence
 from functools import reduce
 
@@ -29,6 +30,12 @@ from ..operators.sizing import spread
 from ..session import cut_lineage
 
 _BLOCK = ["segment", "block"]
+#: Folders of a table of postings.
+_BUCKETS = 64
+
+
+def _bucket(term: str) -> Column:
+    return F.pmod(F.crc32(F.col(term)), F.lit(_BUCKETS)).cast("int")
 
 
 class SearchIndex:
@@ -49,9 +56,7 @@ class SearchIndex:
     ):
         self.spark, self.root, self.key = spark, root.rstrip("/"), key
         self.fields, self.options = tuple(fields), options or TextOptions()
-        if block_rows & (block_rows - 1) or block_rows < 1:
-            raise ValueError("block_rows must be a power of two")
-        self.shift = block_rows.bit_length() - 1
+        self.block_rows = block_rows
 
     # Folders -----------------------------------------------------------------
 
@@ -92,11 +97,13 @@ class SearchIndex:
         number = number or (before[-1][0] + 1 if before else 1)
         whole = whole or not before
         path = f"{self.root}/{'full' if whole else 'part'}-{number:08d}"
+        rows = rows.where(F.col(self.key).isNotNull())
+        count = rows.count()
+        # Blocks follow from the key, so that all tables agree on them without a copy of the words.
+        blocks = F.lit(max(1, -(-count // self.block_rows)))
+        place = F.pmod(F.xxhash64(F.col(self.key), F.lit(7)), blocks).alias("block")
         text = F.concat_ws(" ", *[F.col(f) for f in self.fields])
-        words = spread(rows).select(F.col(self.key).alias("key"), F.sort_array(tokens(text, self.options)).alias("_w"))
-        words = words.where(F.col("key").isNotNull()).withColumn("block", F.shiftright(F.monotonically_increasing_id(), self.shift))
-        # Blocks are places in the batch: fixed, so that all tables of the folder agree.
-        words = cut_lineage(words)
+        words = spread(rows).select(F.col(self.key).alias("key"), place, tokens(text, self.options).alias("_w"))
         sized = words.select("key", "block", F.size("_w").alias("length"))
         if not whole:
             self._write(self._replaced(sized.select("key")), path, "dead")
@@ -104,14 +111,16 @@ class SearchIndex:
             kind = rows.schema[self.key].dataType.simpleString()
             self._write(self.spark.createDataFrame([], f"key {kind}, block long, length int, of int"), path, "dead")
         self._write(sized, path, "posts")
-        self._write(self._postings(words), path, "postings")
-        figures = sized.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("words"))
+        slices = F.lit(max(1, -(-count // 1_000_000)))
+        self._write(self._postings(words, slices), path, "postings", "bucket")
+        stored = self.spark.read.parquet(f"{path}/posts")
+        figures = stored.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("words"))
         self._write(figures, path, "figures")
         return number
 
     @staticmethod
-    def _write(df: DataFrame, path: str, name: str) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    def _write(df: DataFrame, path: str, name: str, *by: str) -> None:
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{name}")
 
     def _replaced(self, keys: DataFrame) -> DataFrame:
         """The posts indexed under these keys that are not dead yet."""
@@ -127,26 +136,31 @@ class SearchIndex:
         return self._table("dead", "key string, block long, length int, of int").drop("segment")
 
     @staticmethod
-    def _postings(words: DataFrame) -> DataFrame:
-        """Postings by (term, block); each row's words are counted in the row, so only different words are shuffled."""
-        some = words.where(F.size("_w") > 0)
+    def _postings(words: DataFrame, slices: Column) -> DataFrame:
+        """Postings by (term, block); each row's words are counted in the row, so only different words are shuffled.
+
+        Terms lie in buckets by their hash; each bucket is cut into slices of blocks, so the most frequent
+        term is the work of many tasks.
+        """
+        some = words.where(F.size("_w") > 0).select("key", "block", F.sort_array("_w").alias("_w"))
         new = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
         counted = "transform(_new, (p, j) -> struct(_w[p] AS term, coalesce(get(_new, j + 1), size(_w)) - p AS tf))"
         each = some.select("key", "block", "_w", new.alias("_new")).select(
             "key", "block", F.size("_w").alias("length"), F.explode(F.expr(counted)).alias("c")
         )
-        flat = each.select("c.term", "block", F.struct("key", "c.tf", "length").alias("post"))
-        # Ranges of (term, block) serve the aggregate as they are, and cut the most frequent term over many files.
-        ranged = flat.repartitionByRange("term", "block")
+        flat = each.select("c.term", "block", "key", "c.tf", "length")
+        dealt = flat.withColumns({"bucket": _bucket("term"), "slice": F.pmod("block", slices)}).repartition("bucket", "slice")
+        # What is dealt by bucket and slice is dealt by (term, block) as well.
         return (
-            ranged.groupBy("term", "block")
+            dealt.groupBy("bucket", "slice", "term", "block")
             .agg(
                 F.count("*").alias("n"),
-                F.max("post.tf").alias("max_tf"),
-                F.min("post.length").alias("min_length"),
-                F.collect_list("post").alias("posts"),
+                F.max("tf").alias("max_tf"),
+                F.min("length").alias("min_length"),
+                F.collect_list(F.struct("key", "tf", "length")).alias("posts"),
             )
-            .sortWithinPartitions("term", "block")
+            .drop("slice")
+            .sortWithinPartitions("bucket", "term", "block")
         )
 
     # Reading -----------------------------------------------------------------
@@ -154,8 +168,9 @@ class SearchIndex:
     def postings(self, terms: Sequence[str]) -> DataFrame:
         """The stored rows of these terms; the filter reaches the scan."""
         kind = "array<struct<key: string, tf: int, length: int>>"
-        table = self._table("postings", f"term string, block long, n long, max_tf int, min_length int, posts {kind}")
-        return table.where(F.col("term").isin(list(terms)))
+        table = self._table("postings", f"term string, block long, n long, max_tf int, min_length int, posts {kind}, bucket int")
+        folders = sorted({zlib.crc32(t.encode()) % _BUCKETS for t in terms})
+        return table.where(F.col("bucket").isin(folders) & F.col("term").isin(list(terms))).drop("bucket")
 
     def _figures(self, terms: Sequence[str]) -> tuple[int, float, dict[str, int]]:
         """Number of posts, mean length and, per term, the number of posts that hold it; replaced posts do not count."""
