@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from threadloom.session import work_path
 from threadloom.sources.files import import_csv, import_json_array
@@ -81,9 +81,13 @@ def write_arrays(docs, path, array_bytes=64 << 20, text="text"):
     """
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 64
     total = docs.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
-    dealt = F.pmod(F.xxhash64(*docs.columns), F.lit(max(16, -(-total // array_bytes)))).alias("slice")
-    slices = docs.groupBy(dealt).agg(F.collect_list(F.struct(*docs.columns)).alias("rows"))
-    slices.select("slice", F.to_json("rows").alias("value")).write.partitionBy("slice").text(path)
+    tie = F.xxhash64(*docs.columns)
+    records = docs.select(F.pmod(tie, F.lit(max(16, -(-total // array_bytes)))).alias("slice"), tie.alias("tie"), F.to_json(F.struct(*docs.columns)).alias("record"))
+    # Line by line, so that no task holds a whole array.
+    order = Window.partitionBy("slice").orderBy("tie", "record")
+    begin = F.when(F.row_number().over(order) == 1, "[").otherwise(",")
+    end = F.when(F.lead("tie").over(order).isNull(), "]").otherwise("")
+    records.select("slice", F.concat(begin, "record", end).alias("value")).write.partitionBy("slice").text(path)
 
 
 @check("import_json_array", "SELECT doc_id, text, lang FROM documents")
