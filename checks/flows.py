@@ -14,6 +14,7 @@ from threadloom.sources.files import write_files
 from threadloom.sources.normalize import normalize_comments, normalize_posts
 from threadloom.sources.store import Store
 from threadloom.streaming.flow import clean_stream, upsert_stream
+from threadloom.streaming.state import keep_last_stream, use_state
 
 from .registry import CRAWLED_POSTS_SQL, RAW_COMMENTS_SQL, check, crawled_posts, instant, load, raw_comments
 from .rows import STORED_COMMENTS_SQL, plain_time
@@ -155,3 +156,28 @@ def stream_upsert_unsorted(spark, folder):
             stream, store, "events", state, ["ts", "event_id"], True, available_now=True, keep_newer=True
         ).awaitTermination()
     return store.read("events")
+
+
+@check(
+    "stream_keep_last",
+    """SELECT * FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+)
+def stream_keep_last(spark, folder):
+    """Events arrive in any order; the state keeps the last one of every user and puts it out when the watermark passes."""
+    events = load(spark, folder, "events")
+    use_state(spark)
+    source, out, state = (work_path(spark, f"keep-last-{n}") for n in ("in", "out", "state"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    span = last - first + dt.timedelta(minutes=1)
+    end = events.limit(1).select(
+        *[F.lit(last + 2 * span).cast(f.dataType).alias("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema]
+    )
+    parts = [events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part) for part in range(3)]
+    for some in [*parts, end]:  # the last row only moves the watermark beyond all others
+        write_files(some, "parquet", source, mode="append")
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        kept = keep_last_stream(stream, "user_id", "ts", ["event_id"], lateness=f"{int(span.total_seconds())} seconds")
+        writer = kept.writeStream.format("parquet").option("checkpointLocation", state)
+        writer.trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(events.schema).parquet(out)
