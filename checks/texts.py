@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
+import re
+
 from pyspark.sql import functions as F
 
 from threadloom.functions import stemming, text as X
 from threadloom.functions.scalars import preview
+from threadloom.functions.sentences import TREEBANK, fit_sentences, sentences
 from threadloom.functions.stopwords import ENGLISH
 from threadloom.functions.text import CONTRACTIONS, TextOptions, clean, tokens
 from threadloom.operators.sizing import spread
@@ -280,3 +284,101 @@ def text_clean_missing(spark, folder):
     """A null or empty text cleans to the empty text."""
     docs = load(spark, folder, "documents").selectExpr("doc_id", "CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END AS t")
     return docs.select("doc_id", clean(F.col("t")).alias("cleaned"), F.col("t").isNull().alias("missing"))
+
+
+# Sentences and punctuation ---------------------------------------------------------
+
+
+def separated_sql(column: str) -> str:
+    """The Treebank rules of ``sentences`` in DuckDB's dialect."""
+    out = f"' ' || array_to_string(list_filter(string_split_regex({column}, '[{SPACE}]+'), lambda w: w <> ''), ' ') || ' '"
+    for pattern, change in TREEBANK:
+        pattern, change = pattern.replace("'", "''"), re.sub(r"\$(\d)", r"\\\1", change).replace("'", "''")
+        out = f"regexp_replace({out}, '{pattern}', '{change}', 'g')"
+    return out
+
+
+PUNCTUATION = TextOptions.switched(False)
+
+
+@check(
+    "text_punctuation_tokens",
+    f"""WITH t AS (SELECT doc_id, list_filter(string_split({separated_sql('text')}, ' '), lambda w: w <> '') AS w FROM documents)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, CAST(len(list_filter(w, lambda x: NOT regexp_matches(x, '[\\p{{L}}\\p{{N}}]'))) AS BIGINT) AS n_marks,
+           md5(array_to_string(w, ' ')) AS digest FROM t""",
+)
+def text_punctuation_tokens(spark, folder):
+    """Punctuation marks as tokens, the text taken as one sentence."""
+    docs = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    options = dataclasses.replace(PUNCTUATION, punctuation_tokens=True, split_contractions=False)
+    listed = docs.select("doc_id", tokens(F.col("text"), options).alias("w"))
+    return listed.select(
+        "doc_id",
+        F.size("w").cast("long").alias("n_tokens"),
+        F.size(F.filter("w", lambda x: ~x.rlike(r"[\p{L}\p{N}]"))).cast("long").alias("n_marks"),
+        F.md5(F.array_join("w", " ")).alias("digest"),
+    )
+
+
+
+def bare(word):
+    return f"regexp_replace({word}, " + r"""'["''”’»)\]}]+$', '')"""
+
+
+def opened(word):
+    return f"regexp_replace({word}, " + r"""'^["''“‘«(\[{]+', '')"""
+
+
+def core(word):
+    return opened(rf"regexp_replace({bare(word)}, '\.$', '')")
+
+
+def first(word):
+    return f"substr({opened(word)}, 1, 1)"
+
+
+def stopped(word):
+    return rf"regexp_matches({bare(word)}, '(^|[^.])\.$')"
+
+
+def upper(word):
+    return f"{first(word)} <> lower({first(word)})"
+
+
+SENTENCES_SQL = rf"""
+WITH l AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[{SPACE}]+'), lambda w: w <> '') AS w FROM documents),
+e AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM l),
+t AS (SELECT doc_id, i, word, lag(word) OVER o AS before, lead(word) OVER o AS after FROM e WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+c AS (
+  SELECT lower({core('word')}) AS type, CAST(count(*) FILTER (WHERE {stopped('word')}) AS DOUBLE) AS stopped,
+         CAST(count(*) FILTER (WHERE NOT {stopped('word')}) AS DOUBLE) AS plain,
+         count(*) FILTER (WHERE {first('word')} <> upper({first('word')})) AS low,
+         count(*) FILTER (WHERE {upper('word')} AND before IS NOT NULL
+                          AND NOT regexp_matches({bare('before')}, '[.?!]$')) AS up
+  FROM t GROUP BY 1),
+p AS (SELECT sum(stopped) / sum(stopped + plain) AS p FROM c),
+s AS (SELECT *, length(replace(type, '.', '')) AS n, length(type) - length(replace(type, '.', '')) AS inner_ FROM c),
+a AS (SELECT type FROM s, p WHERE stopped > 0 AND regexp_matches(type, '\p{{L}}')
+      AND 2 * (stopped * ln(0.99) + plain * ln(1 - 0.99) - stopped * ln(p) - plain * ln(1 - p)) * exp(-n) * (inner_ + 1) * pow(n, -plain) >= 0.3),
+d AS (SELECT type FROM c WHERE low > 0 AND up = 0),
+b AS (
+  SELECT doc_id, i, word, CASE WHEN after IS NULL THEN FALSE
+    WHEN regexp_matches({bare('word')}, '[?!]$') THEN TRUE
+    WHEN regexp_matches({bare('word')}, '\.\.$') THEN {upper('after')}
+    WHEN NOT regexp_matches({bare('word')}, '\.$') THEN FALSE
+    WHEN {stopped('word')} AND (lower({core('word')}) IN (SELECT type FROM a) OR regexp_matches({core('word')}, '^\p{{L}}$'))
+      THEN {upper('after')} AND lower({core('after')}) IN (SELECT type FROM d)
+    WHEN NOT regexp_matches({bare('word')}, '\p{{L}}') THEN {first('after')} = upper({first('after')})
+    ELSE TRUE END AS border
+  FROM t),
+j AS (SELECT doc_id, string_agg(word || CASE WHEN border THEN chr(10) ELSE ' ' END, '' ORDER BY i) AS joined, count(*) FILTER (WHERE border) + 1 AS n FROM b GROUP BY doc_id)
+SELECT l.doc_id, coalesce(n, 0) AS n_sentences, md5(coalesce(rtrim(replace(joined, chr(10), ' ' || chr(10)), ' '), '')) AS digest FROM l LEFT JOIN j USING (doc_id)"""
+
+
+@check("text_sentences", SENTENCES_SQL)
+def text_sentences(spark, folder):
+    """Sentences by the statistics of all documents."""
+    docs = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    model = fit_sentences(docs, "text")
+    split = docs.select("doc_id", sentences(F.col("text"), model).alias("s"))
+    return split.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.md5(F.array_join("s", " \n")).alias("digest"))

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+from .sentences import SentenceModel, sentence_tokens
 from .stemming import stem_tokens
 from .stopwords import stopwords
 
@@ -47,6 +48,10 @@ class TextOptions:
     compared as written, so a list entry with an apostrophe only matches when
     punctuation is kept.  ``lemmatization`` needs a lemma table and is applied
     by :func:`threadloom.operators.vocab.lemmatize` after this chain.
+
+    With ``remove_special_chars=False``, ``punctuation_tokens`` makes punctuation
+    marks tokens of their own by the Treebank convention, sentence by sentence
+    where a ``sentence_model`` is given (see ``sentences``).
     """
 
     remove_urls: bool = True
@@ -59,6 +64,8 @@ class TextOptions:
     language: str = "english"
     stopword_list: tuple[str, ...] | None = None
     split_contractions: bool = True
+    punctuation_tokens: bool = False
+    sentence_model: SentenceModel | None = None
 
     @classmethod
     def switched(cls, on: bool) -> TextOptions:
@@ -121,7 +128,11 @@ def _characters(text: Column, options: TextOptions) -> Column:
 def tokens(text: Column, options: TextOptions | None = None) -> Column:
     """The cleaned tokens of a text, in order; an empty array for null."""
     options = options or TextOptions()
-    words = F.split(_characters(text, options), SPACES_PATTERN)
+    chars = _characters(text, options)
+    if options.punctuation_tokens and not options.remove_special_chars:
+        words = sentence_tokens(chars, options.sentence_model)
+    else:
+        words = F.split(chars, SPACES_PATTERN)
     # One membership test covers the empty pieces at the ends and the stopwords.
     unwanted = ["", *options.stops()]
     kept = F.filter(words, lambda word: ~word.isin(unwanted))
@@ -131,7 +142,7 @@ def tokens(text: Column, options: TextOptions | None = None) -> Column:
 def clean(text: Column, options: TextOptions | None = None) -> Column:
     """The whole chain; null and empty text give empty text."""
     options = options or TextOptions()
-    if options.stops() or options.stemming:
+    if options.stops() or options.stemming or options.punctuation_tokens:
         return F.array_join(tokens(text, options), " ")
     # Without token-level steps, splitting and joining only collapses blanks.
     return F.trim(F.regexp_replace(_characters(text, options), SPACES_PATTERN, " "))

@@ -7,7 +7,7 @@ Below the root every indexed batch is one numbered folder with four tables:
   about ``block_rows`` posts of the batch, the same posts for all terms.  Terms are
   dealt to folders by a hash and sorted in each file, so that a filter on terms
   reads the folders, row groups and pages of these terms only.
-* ``posts``: key, block and length of every post of the batch.
+* ``posts``: key, block, length and word counts of every post of the batch.
 * ``dead``: posts of earlier batches that this batch replaces.
 * ``figures``: number of posts and words; written last, it commits the folder.
 
@@ -38,6 +38,15 @@ def _bucket(term: str) -> Column:
     return F.pmod(F.crc32(F.col(term)), F.lit(_BUCKETS)).cast("int")
 
 
+def _counts() -> list[Column]:
+    """The different words of the sorted array ``_w`` and how often each occurs, in two arrays of one order."""
+    new = F.filter(
+        F.transform("_w", lambda w, i: F.when((i == 0) | (w != F.get("_w", i - 1)), i)), lambda i: i.isNotNull()
+    )
+    bound = F.transform(F.array(new), lambda s: F.transform(s, lambda p, j: F.coalesce(F.get(s, j + 1), F.size("_w")) - p))
+    return [F.array_distinct("_w").alias("terms"), F.get(bound, F.lit(0)).alias("counts")]
+
+
 class SearchIndex:
     """The postings of one table, searched by BM25 (see ``operators.search``).
 
@@ -103,24 +112,25 @@ class SearchIndex:
         blocks = F.lit(max(1, -(-count // self.block_rows)))
         place = F.pmod(F.xxhash64(F.col(self.key), F.lit(7)), blocks).alias("block")
         text = F.concat_ws(" ", *[F.col(f) for f in self.fields])
-        words = spread(rows).select(F.col(self.key).alias("key"), place, tokens(text, self.options).alias("_w"))
-        sized = words.select("key", "block", F.size("_w").alias("length"))
+        words = spread(rows).select(F.col(self.key).alias("key"), place, F.sort_array(tokens(text, self.options)).alias("_w"))
+        # Words are cut out once: the counts of a post are kept, the postings are made from them.
+        self._write(words.select("key", "block", F.size("_w").alias("length"), *_counts()), path, "posts")
+        posts = self.spark.read.parquet(f"{path}/posts")
+        sized = posts.select("key", "block", "length")
         if not whole:
             self._write(self._replaced(sized.select("key")), path, "dead")
         else:
             kind = rows.schema[self.key].dataType.simpleString()
             self._write(self.spark.createDataFrame([], f"key {kind}, block long, length int, of int"), path, "dead")
-        self._write(sized, path, "posts")
-        slices = F.lit(max(1, -(-count // 1_000_000)))
-        self._write(self._postings(words, slices), path, "postings", "bucket")
-        stored = self.spark.read.parquet(f"{path}/posts")
-        figures = stored.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("words"))
+        slices = -(-count // 1_000_000)
+        self._write(self._postings(posts, slices), path, "postings", "bucket")
+        figures = sized.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("words"))
         self._write(figures, path, "figures")
         return number
 
     @staticmethod
     def _write(df: DataFrame, path: str, name: str, *by: str) -> None:
-        df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{name}")
+        df.write.mode("overwrite").partitionBy(*by).option("compression", "zstd").parquet(f"{path}/{name}")
 
     def _replaced(self, keys: DataFrame) -> DataFrame:
         """The posts indexed under these keys that are not dead yet."""
@@ -136,28 +146,27 @@ class SearchIndex:
         return self._table("dead", "key string, block long, length int, of int").drop("segment")
 
     @staticmethod
-    def _postings(words: DataFrame, slices: Column) -> DataFrame:
-        """Postings by (term, block); each row's words are counted in the row, so only different words are shuffled.
+    def _postings(posts: DataFrame, slices: int) -> DataFrame:
+        """Postings by (term, block) from the counts of the posts.
 
-        Terms lie in buckets by their hash; each bucket is cut into slices of blocks, so the most frequent
-        term is the work of many tasks.
+        Terms lie in buckets by their hash; in a large batch each bucket is cut into slices of blocks, so
+        the most frequent term is the work of many tasks.
         """
-        some = words.where(F.size("_w") > 0).select("key", "block", F.sort_array("_w").alias("_w"))
-        new = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
-        counted = "transform(_new, (p, j) -> struct(_w[p] AS term, coalesce(get(_new, j + 1), size(_w)) - p AS tf))"
-        each = some.select("key", "block", "_w", new.alias("_new")).select(
-            "key", "block", F.size("_w").alias("length"), F.explode(F.expr(counted)).alias("c")
-        )
-        flat = each.select("c.term", "block", "key", "c.tf", "length")
-        dealt = flat.withColumns({"bucket": _bucket("term"), "slice": F.pmod("block", slices)}).repartition("bucket", "slice")
+        each = posts.select("key", "block", "length", F.explode(F.arrays_zip("terms", "counts")).alias("c"))
+        # Count and length in one number: what is shuffled is a row for each post and word.
+        size = F.shiftleft(F.col("c.counts").cast("long"), 32).bitwiseOR(F.col("length"))
+        flat = each.select(F.col("c.terms").alias("term"), "block", "key", size.alias("size"))
+        dealt_by = {"bucket": _bucket("term")} | ({"slice": F.pmod("block", F.lit(slices))} if slices > 1 else {})
+        dealt = flat.withColumns(dealt_by).repartition(*dealt_by)
+        tf, length = F.shiftright("size", 32).cast("int"), F.col("size").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
         # What is dealt by bucket and slice is dealt by (term, block) as well.
         return (
-            dealt.groupBy("bucket", "slice", "term", "block")
+            dealt.groupBy(*dealt_by, "term", "block")
             .agg(
                 F.count("*").alias("n"),
-                F.max("tf").alias("max_tf"),
-                F.min("length").alias("min_length"),
-                F.collect_list(F.struct("key", "tf", "length")).alias("posts"),
+                F.max(tf).alias("max_tf"),
+                F.min(length).alias("min_length"),
+                F.collect_list(F.struct("key", tf.alias("tf"), length.alias("length"))).alias("posts"),
             )
             .drop("slice")
             .sortWithinPartitions("bucket", "term", "block")
