@@ -262,3 +262,16 @@ def test_counts_of_documents(table):
     for row in wordpiece.count_tokens(table("documents").select("text"), initial, inside).collect()[:60]:
         lengths = [greedy(w.encode(), first, more) for w in wordpiece.split_words(row.text)]
         assert (row.n_words, row.n_tokens, row.n_unknown) == (len(lengths), sum(lengths), 0)
+
+
+def test_a_label_of_few_long_texts_is_learnt(spark):
+    """Three texts of 4 MB give their share, none of them whole; a short label is taken whole."""
+    rows = [(i, ("uno dos tres cuatro " * 200_000)[: 4_000_000], "es") for i in (1, 2, 3, 4, 5)]
+    rows += [(100 + i, "one two three four", "en") for i in range(40)] + [(7, "", "de"), (8, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language.training_sample(docs, sample_bytes=300_000)
+    assert 200_000 < sum(map(len, sample["es"])) < 400_000 and max(map(len, sample["es"])) <= 4096
+    kept = docs.where("lang = 'en'").where(~language.held_out()).count()
+    assert len(sample["en"]) == kept and sample.get("de", []) == []
+    told = {r.doc_id: r.lang_pred for r in language.identify(docs.where("doc_id > 3"), sample_bytes=300_000).collect()}
+    assert told[4] == "es" and told[100] == "en"

@@ -21,23 +21,30 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 4 == 2
 
 
-def training_sample(docs: DataFrame, label: str = "lang", text: str = "text", sample_bytes: int = 2_000_000) -> dict[str, list[str]]:
-    """About ``sample_bytes`` of whole texts for each label, all of them where there are fewer.
-
-    Rows are chosen by a hash of id and text, so the sample is the same on
-    every run.  One pass sums the bytes of each label, a second one keeps the
-    chosen rows; nothing is sorted or shuffled but the sums.
+def training_sample(
+    docs: DataFrame, label: str = "lang", text: str = "text", sample_bytes: int = 2_000_000, piece: int = 4096
+) -> dict[str, list[str]]:
+    """About ``sample_bytes`` of text for each label, in pieces of ``piece`` characters; all of it where there is less.
+
+    Pieces are drawn by a hash of id, text and place, so the sample is the same
+    on every run; a label of few long texts gets its share of each, and no long
+    text exceeds it.  One pass sums the bytes of each label, a second one
+    keeps the drawn pieces; nothing is sorted or shuffled but the sums.
     """
     labelled = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & ~held_out())
     sums = labelled.groupBy(label).agg(F.sum(F.octet_length(text)).alias("bytes")).collect()
     if not sums:
         return {}
-    shares = [F.when(F.col(label) == r[label], F.lit(min(1.0, sample_bytes / max(1, r["bytes"])))) for r in sums]
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.col(text), F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = labelled.where(draw < F.coalesce(*shares)).select(label, text).collect()
+    shares = [F.when(F.col("label") == r[label], F.lit(min(1.0, sample_bytes / max(1, r["bytes"])))) for r in sums]
+    named = labelled.select(F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64("doc_id", F.col(text)).alias("name"))
+    places = F.sequence(F.lit(0), F.floor((F.char_length("text") - 1) / piece).cast("int"))
+    cut = named.where(F.char_length("text") > 0).withColumn("place", F.explode(places))
+    draw = F.pmod(F.xxhash64("name", "place", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    drawn = cut.where(draw < F.coalesce(*shares))
+    chosen = drawn.select("label", F.substr(F.col("text"), F.col("place") * piece + 1, F.lit(piece)).alias("text")).collect()
     out: dict[str, list[str]] = {r[label]: [] for r in sums}
     for row in chosen:
-        out[row[label]].append(row[text])
+        out[row["label"]].append(row["text"])
     return {k: sorted(v) for k, v in sorted(out.items())}
 
 
@@ -199,7 +206,7 @@ def identify(
     """``docs`` with the predicted language of every whole text and the share of belief in it.
 
     One model for each value of ``label`` is fitted on the driver from a sample
-    of about ``sample_bytes`` of labelled texts (see ``training_sample``) and
+    of about ``sample_bytes`` of pieces of labelled texts (see ``training_sample``) and
     goes to the executors as one mapped file.  The prediction takes the text
     alone.  ``score`` is the probability of the chosen language if all are
     equally likely beforehand and their code lengths are exact; equal code
