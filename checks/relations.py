@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from threadloom.operators import relate, sets
 from threadloom.operators.rank import comment_order
+from threadloom.operators.tour import is_above, subtree_measures
 from threadloom.operators.tree import roots, walk
 from threadloom.plans.prepare import prepare_for_ml
 from threadloom.sources.normalize import normalize_comments
@@ -221,3 +222,36 @@ def tree_depth_audit(spark, folder):
 )
 def tree_roots(spark, folder):
     return roots(normalize_comments(raw_comments(spark, folder))).select("id", "post_id")
+
+
+@check(
+    "comment_subtrees",
+    f"""WITH RECURSIVE {RAW_COMMENTS_SQL}, {STORED_COMMENTS_SQL},
+    above AS (
+      SELECT post_id, id, id AS top, parent_id, score FROM stored_comments
+      UNION ALL
+      SELECT a.post_id, a.id, c.id, c.parent_id, a.score FROM above a JOIN stored_comments c ON a.parent_id = c.id AND a.post_id = c.post_id)
+    SELECT post_id, top AS id, count(*) AS subtree_size, CAST(sum(score) AS BIGINT) AS subtree_score, 2 * count(*) - 1 AS steps FROM above
+    WHERE post_id IN (SELECT post_id FROM stored_comments WHERE parent_id = post_id) GROUP BY post_id, top""",
+)
+def comment_subtrees(spark, folder):
+    comments = normalize_comments(raw_comments(spark, folder)).select("post_id", "id", "parent_id", "score")
+    measured = subtree_measures(walk(comments))
+    return measured.select("post_id", "id", "subtree_size", "subtree_score", (F.col("leave") - F.col("enter")).alias("steps"))
+
+
+@check(
+    "comment_ancestors",
+    f"""WITH RECURSIVE {RAW_COMMENTS_SQL}, {STORED_COMMENTS_SQL},
+    above AS (
+      SELECT post_id, id, parent_id FROM stored_comments
+      UNION ALL
+      SELECT a.post_id, a.id, c.parent_id FROM above a JOIN stored_comments c ON a.parent_id = c.id AND a.post_id = c.post_id)
+    SELECT post_id, id, parent_id AS above_id FROM above WHERE parent_id <> post_id""",
+)
+def comment_ancestors(spark, folder):
+    """Every comment with every comment above it, by a range join on the tour."""
+    comments = normalize_comments(raw_comments(spark, folder)).select("post_id", "id", "parent_id", "score")
+    measured = subtree_measures(walk(comments)).select("post_id", "id", "enter", "leave")
+    joined = measured.alias("a").join(measured.alias("b"), is_above("a", "b"))
+    return joined.select("b.post_id", "b.id", F.col("a.id").alias("above_id"))

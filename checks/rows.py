@@ -15,6 +15,8 @@ from threadloom.functions.scalars import (
     timestamp_to_iso,
 )
 from threadloom.operators import filters
+from threadloom.operators.keywords import holds_keyword, keyword_hits
+from threadloom.operators.sizing import spread
 from threadloom.operators.transforms import add_fields, optional, records
 from threadloom.sources.normalize import normalize_comments, normalize_community, normalize_posts
 
@@ -281,3 +283,36 @@ def scalar_texts(spark, folder):
         part(F.col("id"), "-", 1).alias("turn"),
         contains_any(F.col("body"), ["tion", "der"]).alias("hit"),
     )
+
+
+# Thousands of keywords: 5,000 words of the documents themselves, chosen by a digest.
+MANY_SQL = """many AS (
+  SELECT word FROM (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM documents) w
+  WHERE length(word) BETWEEN 4 AND 20 ORDER BY md5(word), word LIMIT 5000)"""
+
+
+def many_keywords(docs):
+    listed = docs.select(F.explode(F.split(F.lower("text"), " ", -1)).alias("word")).where("length(word) BETWEEN 4 AND 20").distinct()
+    return [r[0] for r in listed.orderBy(F.md5("word"), "word").limit(5000).collect()]
+
+
+@check(
+    "filter_many_keywords",
+    f"WITH {MANY_SQL} SELECT doc_id FROM documents WHERE EXISTS (SELECT 1 FROM many WHERE contains(lower(text), word))",
+)
+def filter_many_keywords(spark, folder):
+    docs = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    return holds_keyword(docs, many_keywords(docs), "text").select("doc_id")
+
+
+@check(
+    "keyword_hits",
+    f"""WITH {MANY_SQL}, hits AS (SELECT doc_id, word FROM documents JOIN many ON contains(lower(text), word))
+    SELECT d.doc_id, count(word) AS n_keywords, md5(coalesce(string_agg(word, ' ' ORDER BY md5(word), word), '')) AS digest
+    FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id GROUP BY d.doc_id""",
+)
+def all_keyword_hits(spark, folder):
+    """Which of 5,000 keywords every document holds, in one pass over its text."""
+    docs = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    found = keyword_hits(docs, many_keywords(docs), "text")
+    return found.select("doc_id", F.size("keywords").cast("long").alias("n_keywords"), F.md5(F.array_join("keywords", " ")).alias("digest"))

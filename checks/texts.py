@@ -12,6 +12,7 @@ from threadloom.functions.scalars import preview
 from threadloom.functions.sentences import TREEBANK, fit_sentences, sentences
 from threadloom.functions.stopwords import ENGLISH
 from threadloom.functions.text import CONTRACTIONS, TextOptions, clean, tokens
+from threadloom.operators.morphology import ENDINGS, lemma_table
 from threadloom.operators.sizing import spread
 from threadloom.operators.transforms import clean_fields
 from threadloom.operators.vocab import lemmatize
@@ -382,3 +383,29 @@ def text_sentences(spark, folder):
     model = fit_sentences(docs, "text")
     split = docs.select("doc_id", sentences(F.col("text"), model).alias("s"))
     return split.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.md5(F.array_join("s", " \n")).alias("digest"))
+
+
+# Lemmas by morphology: known are the words that occur at least ten times.
+def lemmas_sql(part: str) -> str:
+    tried = "".join(
+        f" UNION ALL SELECT word, {n}, left(word, length(word) - {len(end)}) || '{instead}' FROM v WHERE ends_with(word, '{end}') AND length(word) > {len(end)}"
+        for n, (end, instead) in enumerate(ENDINGS[part], 1)
+    )
+    return f"""WITH w AS (SELECT unnest({tokens_sql('text')}) AS word FROM documents),
+    v AS (SELECT word, count(*) AS n FROM w GROUP BY word),
+    known AS (SELECT word FROM v WHERE n >= 10),
+    tried AS (SELECT word, 0 AS rule, word AS candidate FROM v{tried}),
+    best AS (SELECT word, arg_min(candidate, [length(candidate), rule]) AS lemma FROM tried WHERE candidate IN (SELECT word FROM known) GROUP BY word)
+    SELECT v.word, CASE WHEN v.word = 'und' THEN 'and' ELSE coalesce(lemma, v.word) END AS lemma FROM v LEFT JOIN best b ON v.word = b.word"""
+
+
+for _part in ENDINGS:
+
+    @check(f"lemma_morphology_{_part}", lemmas_sql(_part))
+    def morphology(spark, folder, part=_part):
+        """The lemma of every word of the documents; one irregular form goes before the rules."""
+        docs = spread(load(spark, folder, "documents").select("text"))
+        words = docs.select(F.explode(tokens(F.col("text"))).alias("word"))
+        known = words.groupBy("word").count().where("count >= 10")
+        odd = spark.createDataFrame([("und", "and")], "word string, lemma string")
+        return lemma_table(words, known, part, odd)

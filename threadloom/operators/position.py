@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage
 
-_AT, _PIECE, _BEFORE = "_number_at", "_number_piece", "_number_before"
+_AT, _PIECE, _BEFORE, _TIE = "_number_at", "_number_piece", "_number_before", "_number_tie"
 
 
 def number_rows(
@@ -25,9 +25,13 @@ def number_rows(
     them.
     """
     keys = [F.col(c).asc_nulls_first() for c in group]
+    # The place in the input comes last, so that a crowd of equal rows is cut as well.
+    order = [*order, F.col(_TIE)]
     dealt = (
-        df.repartitionByRange(*keys, *order)
+        df.withColumn(_TIE, F.monotonically_increasing_id())
+        .repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
+        .drop(_TIE)
         .withColumn(_AT, F.monotonically_increasing_id())
     )
     dealt = cut_lineage(dealt).withColumn(_PIECE, F.shiftright(_AT, 33))

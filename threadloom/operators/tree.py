@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..session import cut_lineage
+from .dedup import _hashable
 from .position import number_rows
 
 
@@ -125,7 +126,10 @@ def positions(
     each level anew.  All numbering goes by range pieces, so a hot post or a hot
     level is never in one task.
     """
-    one = walked.dropDuplicates([post, key])
+    # Of rows that repeat an id the one with the least parent counts, as for the walk.
+    plain = [F.col(f"`{f.name}`") for f in walked.schema if _hashable(f.dataType)]
+    first = Window.partitionBy(post, key).orderBy(F.col(parent), *order, F.xxhash64(*plain))
+    one = walked.withColumn("_first", F.row_number().over(first)).where("_first = 1").drop("_first")
     numbered = number_rows(one, [post, parent], order, "_rank")
     state = cut_lineage(
         numbered.select(
