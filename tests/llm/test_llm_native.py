@@ -47,6 +47,19 @@ def test_numbering_has_no_gaps(spark):
         assert [(r.k, -r.id) for r in rows] == sorted((r.k, -r.id) for r in rows)
 
 
+def test_equal_rows_are_cut_over_tasks(spark):
+    """A third of equal rows in group and order is not the work of one task."""
+    df = spark.range(9000).selectExpr("'g' AS g", "IF(id % 3 = 0, 0, id) AS k").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = number_rows(df, ["g"], [F.col("k").asc()])
+        assert [r.position for r in got.orderBy("position").collect()] == list(range(1, 9001))
+        dealt = df.withColumn("t", F.monotonically_increasing_id()).repartitionByRange("g", "k", "t").where("k = 0")
+        assert dealt.groupBy(F.spark_partition_id()).count().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 # --- URL lists
 
 
