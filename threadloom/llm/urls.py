@@ -8,8 +8,12 @@ from ..operators.sizing import dealt_anew
 
 
 def url_parts(url: str = "url"):
-    """Lower-case host without port and user, and the address without scheme, query and fragment."""
-    host = F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    """Lower-case host without port, user and closing dot, and the address without scheme, query and fragment.
+
+    A numeric address of the sixth version keeps its brackets.
+    """
+    named = F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)", 1)
+    host = F.lower(F.regexp_replace(named, r"\.$", ""))
     path = F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     return host, F.concat(host, F.regexp_replace(path, "/+$", ""))
 
