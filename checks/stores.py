@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F, types as T
 
 from threadloom.session import work_path
 from threadloom.sources.files import import_csv, import_json_array
-from threadloom.sources.store import Store, create_store, reconcile
+from threadloom.sources.store import Store, create_store, reconcile, reconcile_rows
 
 from .merges import MERGED_SQL, REPLACED_SQL, order_batch
 from .registry import check, load
@@ -56,6 +56,22 @@ def compared(spark, folder):
     return reconcile(load(spark, folder, "documents"), load(spark, folder, "labels"), "doc_id")
 
 
+# A stored copy in which some rows have changed, some are lost and some are more.
+@check(
+    "store_reconcile_rows",
+    """SELECT doc_id, CASE doc_id % 50 WHEN 3 THEN 'changed' WHEN 5 THEN 'missing' END AS state FROM documents WHERE doc_id % 50 IN (3, 5)
+       UNION ALL SELECT -1 - doc_id, 'surplus' FROM documents WHERE doc_id % 100 = 7""",
+)
+def reconciled_rows(spark, folder):
+    docs = load(spark, folder, "documents")
+    store = Store(spark, "table", work_path(spark, "reconciled"), "doc_id", {"documents": schema_of(docs)})
+    fifty = F.col("doc_id") % 50
+    text = F.when(fifty == 3, F.concat(F.coalesce("text", F.lit("")), F.lit("!"))).otherwise(F.col("text"))
+    more = docs.where("doc_id % 100 = 7").withColumn("doc_id", -1 - F.col("doc_id"))
+    store.save("documents", docs.where(fifty != 5).withColumn("text", text).unionByName(more), order_by=None)
+    return reconcile_rows(docs, store.read("documents"), "doc_id")
+
+
 # Times with microseconds and texts that look like a null mark survive every format.
 for _fmt in ("table", "json", "csv"):
 

@@ -333,3 +333,21 @@ def test_stream(spark, tmp_path):
     before = store.version("notes")
     consume()
     assert store.version("notes") == before
+
+
+def test_contents_are_reconciled(spark):
+    from threadloom.sources.store import reconcile_rows
+
+    schema = "id string, a string, b int"
+    rows = [("k%d" % i, "x", i) for i in range(300)] + [("twice", "x", 1)] * 2 + [(None, "n", 1), ("null", None, 1)]
+    want = spark.createDataFrame(rows, schema)
+    assert reconcile_rows(want, want.repartition(5)).collect() == []
+    other = [r for r in rows if r[0] not in ("k7", "twice", "null")] + [("more", "x", 1), ("twice", "x", 1), ("null", "x", None)]
+    other[other.index(("k9", "x", 9))] = ("k9", None, 9)
+    other[other.index((None, "n", 1))] = (None, "n", 2)
+    for bits in (16, 1):
+        got = {r.id: r.state for r in reconcile_rows(want, spark.createDataFrame(other, schema), bits=bits).collect()}
+        assert got == {"k7": "missing", "more": "surplus", "twice": "changed", "k9": "changed", None: "changed", "null": "changed"}
+    assert {r.state for r in reconcile_rows(want.where("id = 'k1'"), want.where("false")).collect()} == {"missing"}
+    with pytest.raises(ValueError):
+        reconcile_rows(want.selectExpr("id", "map('a', 1) AS m"), want)

@@ -52,7 +52,11 @@ def _escaped(df: DataFrame, kind: str, pattern: str, change: str) -> DataFrame:
     if kind != "csv":
         return df
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({n: F.regexp_replace(F.col(f"`{n}`"), pattern, change) for n in texts})
+
+    def changed(text):  # few texts hold the mark, and a substring test is far cheaper than a pattern
+        return F.when(F.contains(text, F.lit("\\N")), F.regexp_replace(text, pattern, change)).otherwise(text)
+
+    return df.withColumns({n: changed(F.col(f"`{n}`")) for n in texts})
 
 
 def read_files(

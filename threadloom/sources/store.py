@@ -22,7 +22,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.dedup import keep_last
+from ..operators.dedup import _hashable, keep_last
 from ..operators.filters import by_equality
 from ..operators.relate import known
 from ..operators.upsert import Order, latest_rows, merge_columns, replace_rows
@@ -313,3 +313,41 @@ def reconcile(expected: DataFrame, stored: DataFrame, key: str = "id") -> DataFr
         F.count(F.when(F.col("s") == 0, True)).alias("keys_missing"),
         F.count(F.when(F.col("e") == 0, True)).alias("keys_surplus"),
     )
+
+
+def reconcile_rows(expected: DataFrame, stored: DataFrame, key: str = "id", bits: int = 16) -> DataFrame:
+    """``(key, state)`` of every key whose rows differ: ``changed``, ``missing`` or ``surplus``.
+
+    Compared are the columns of ``expected``, which ``stored`` has as well;
+    repeated rows count.  A first pass reduces both tables to digests that do
+    not depend on the order of rows, one for each of ``2 ** bits`` buckets of
+    keys, and these to one for each of 256 groups of buckets.  Groups that agree
+    are left; only the digests of the others come to the driver, and only rows
+    of buckets that differ are compared, by a second digest for each key.  Equal
+    tables therefore move digests only.  Null keys are one key.  Maps cannot be
+    compared and raise an error.
+    """
+    columns = expected.columns
+    if odd := [f.name for f in expected.schema if not _hashable(f.dataType)]:
+        raise ValueError(f"columns that cannot be compared: {', '.join(odd)}")
+    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(1 << bits)).cast("int")
+    names = [F.col(f"`{c}`") for c in columns]
+    sides = []
+    for sign, df in ((1, expected), (-1, stored)):
+        # Nulls do not enter a hash, so it says which columns have one.
+        nulls = F.array(*[n.isNull() for n in names])
+        digest = [F.xxhash64(F.lit(seed), nulls, *names).cast("decimal(38,0)") * sign for seed in (1, 2)]
+        sides.append(df.select(F.col(key).alias("key"), bucket.alias("bucket"), F.lit(sign).alias("rows"), *[d.alias(f"d{i}") for i, d in enumerate(digest)]))
+    both = sides[0].unionByName(sides[1])
+    left = [F.sum(c).alias(c) for c in ("rows", "d0", "d1")]
+    differs = "rows <> 0 OR d0 <> 0 OR d1 <> 0"
+    buckets = cut_lineage(both.groupBy("bucket").agg(*left))
+    groups = [r["g"] for r in buckets.groupBy((F.col("bucket") % 256).alias("g")).agg(*left).where(differs).collect()]
+    kind = expected.schema[key].dataType
+    if not groups:
+        return expected.sparkSession.createDataFrame([], T.StructType([T.StructField(key, kind), T.StructField("state", T.StringType())]))
+    unequal = [r["bucket"] for r in buckets.where((F.col("bucket") % 256).isin(groups)).where(differs).select("bucket").collect()]
+    present = [F.max(F.col("rows") > 0).alias("expected"), F.max(F.col("rows") < 0).alias("stored")]
+    keys = both.where(F.col("bucket").isin(unequal)).groupBy("key").agg(*present, *[x.alias(n) for x, n in zip(left, ("r", "x", "y"))])
+    state = F.when(~F.col("stored"), "missing").when(~F.col("expected"), "surplus").otherwise("changed")
+    return keys.where("r <> 0 OR x <> 0 OR y <> 0").select(F.col("key").alias(key), state.alias("state"))
