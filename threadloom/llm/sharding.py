@@ -59,7 +59,7 @@ def external_shuffle(
     )
     path = work_path(spark, "shuffled")
     laid = drawn.select(_BUCKET, F.posexplode(_ITEMS).alias(_INDEX, _ITEM)).select(_BUCKET, _INDEX, F.col(f"{_ITEM}.row").alias(_ITEM))
-    laid.write.parquet(path)
+    laid.write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(laid.schema).parquet(path)
     # One row per bucket: the number of buckets is the input over the bucket size.
     earlier = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -86,7 +86,7 @@ def write_shards(shuffled: DataFrame, path: str, shard: str = "shard", slot: str
 
     Each file holds its rows in slot order; many tasks write one large shard.
     """
-    shuffled.sortWithinPartitions(shard, slot).write.partitionBy(shard).mode("error").parquet(path)
+    shuffled.sortWithinPartitions(shard, slot).write.partitionBy(shard).option("compression", "zstd").mode("error").parquet(path)
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, path: str | None = None, **options) -> DataFrame:
