@@ -275,3 +275,12 @@ def test_a_label_of_few_long_texts_is_learnt(spark):
     assert len(sample["en"]) == kept and sample.get("de", []) == []
     told = {r.doc_id: r.lang_pred for r in language.identify(docs.where("doc_id > 3"), sample_bytes=300_000).collect()}
     assert told[4] == "es" and told[100] == "en"
+
+
+def test_the_lexicon_counts_all_rows(spark):
+    # 300 words that occur twice, in rows far apart; a sample would miss most of them.
+    rows = [(f"filler pair{chr(97 + i % 300 // 20)}{chr(97 + i % 20)}" if i < 600 else "filler",) for i in range(6_000)]
+    docs = spark.createDataFrame(rows, "text string").repartition(4)
+    pairs = {f" pair{chr(97 + i // 20)}{chr(97 + i % 20)}" for i in range(300)}
+    for held in (200_000, 10):
+        assert bpe.frequent_words(docs, held=held) == ["filler", *sorted(pairs)]

@@ -305,24 +305,28 @@ def _worker(tables_file: str, lexicon_file: str) -> Encoder:
     return _loaded[lexicon_file]
 
 
-def frequent_words(docs: DataFrame, text: str = "text", sample_rows: int = 4_000, most: int = 32_768) -> list[str]:
-    """The most frequent words of a sample of about ``sample_rows`` rows.
+def frequent_words(docs: DataFrame, text: str = "text", most: int = 32_768, held: int = 200_000) -> list[str]:
+    """The ``most`` most frequent words, counted over all rows.
 
-    The sample bounds the cost of fitting the lexicon; it decides only which
-    words are looked up and which are merged, never an id.
+    They decide only which words are looked up and which are merged, never an
+    id.  A task hands on its counts whenever it holds ``held`` different words.
     """
-    rows = docs.count()
-    some = docs if rows <= sample_rows else docs.sample(sample_rows / rows, seed=7)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, seen = Splitter(), Counter()
+
+        def made() -> pa.RecordBatch:
+            columns = {"word": list(seen), "n": pa.array(seen.values(), pa.int64())}
+            return pa.RecordBatch.from_pydict(columns, schema=pa.schema([("word", pa.string()), ("n", pa.int64())]))
+
         for piece in pieces(batches, text):
-            seen.update(splitter.words(texts(piece, text))[0])
-        words = [w for w in seen if len(w) <= 64]
-        yield pa.RecordBatch.from_pydict({"word": words, "n": pa.array([seen[w] for w in words], pa.int64())},
-                                         schema=pa.schema([("word", pa.string()), ("n", pa.int64())]))
+            seen.update(w for w in splitter.words(texts(piece, text))[0] if len(w) <= 64)
+            if len(seen) > held:
+                yield made()
+                seen.clear()
+        yield made()
 
-    counted = some.select(text).mapInArrow(count, "word string, n long")
+    counted = docs.select(text).mapInArrow(count, "word string, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most)
     return [r["word"] for r in top.collect()]
 
@@ -342,7 +346,6 @@ def encode(
     outputs: Sequence[str] = ("token_ids", "n_tokens"),
     keep: Sequence[str] | None = None,
     text: str = "text",
-    sample_rows: int = 4_000,
     lexicon_words: int = 32_768,
 ) -> DataFrame:
     """``docs`` with the BPE ids of every whole text.
@@ -358,12 +361,13 @@ def encode(
     of ``docs`` to keep (default: all but those of the added names).
 
     A null text counts as empty, an empty text has no ids, repeated rows are
-    kept, an empty table gives an empty result.  Nothing is shuffled but the
-    word counts of the sample.
+    kept, an empty table gives an empty result.  The texts are read twice: the
+    words of all of them are counted for the lexicon first.  Nothing is shuffled
+    but these counts.
     """
     spark = docs.sparkSession
     tables = Tables(tokenizer)
-    words = frequent_words(docs.select(text), text, sample_rows, lexicon_words)
+    words = frequent_words(docs, text, lexicon_words)
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
     ids, ends = merge_words(raw, tables)
     folder = tempfile.mkdtemp(prefix="threadloom-")
