@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.arrow import map_words
+from ..session import bound_batches
 from .sizing import dealt_anew, fits_broadcast
 
 MAP_ROWS = 500_000
@@ -40,7 +41,7 @@ def lemmatize(df: DataFrame, column: str, lemmas: DataFrame, strategy: str = "au
 
 
 def _by_map(df: DataFrame, column: str, pairs: dict[str, str]) -> DataFrame:
-    lemma_of = df.sparkSession.sparkContext.broadcast(pairs)
+    lemma_of = bound_batches(df.sparkSession).sparkContext.broadcast(pairs)
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def look_up(words: pa.Array) -> pa.Array:

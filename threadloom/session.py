@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.sizing import scanned_bytes
+from .operators.sizing import _bytes, scanned_bytes
 
 MAX_SHUFFLE_PARTITIONS = 200_000
 
@@ -65,6 +65,19 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_batches(spark: SparkSession, most_bytes: int = 8 << 20) -> SparkSession:
+    """Bound the bytes of an Arrow batch for this session.
+
+    Spark's own bounds are 10,000 rows and 64 MB; whole texts are large, and the
+    JVM and the worker each hold a batch per task, the worker some copies of it.
+    A lower bound that is set already holds.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < _bytes(spark.conf.get(name)) <= most_bytes:
+        spark.conf.set(name, str(most_bytes))
+    return spark
+
+
 def size_shuffles(*scans: DataFrame, per_task: int = 200 << 20, stored_bytes: int = 0) -> int:
     """Raise ``spark.sql.shuffle.partitions`` to fit tables of this size.
 

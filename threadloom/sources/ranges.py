@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..session import cut_lineage
+from ..session import bound_batches, cut_lineage
 
 #: States of this many ranges (some 100 bytes each) are sent to all tasks; more are joined.
 _SENT = 100_000
@@ -107,7 +107,7 @@ def read_fragments(spark: SparkSession, paths: str | list[str], shape: Shape) ->
     the cores it has at the time.  The reader belongs to a session of its own
     that holds both as they are now.
     """
-    fixed = spark.newSession()
+    fixed = bound_batches(bound_batches(spark).newSession())
     for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         fixed.conf.set(name, spark.conf.get(name))
     cores = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
