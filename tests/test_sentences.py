@@ -73,3 +73,16 @@ def test_in_the_chain(spark, model):
     assert of(spark, text, tokens(F.col("text"), on)) == want
     assert of(spark, text, clean(F.col("text"), on)) == " ".join(want)
     assert of(spark, text, tokens(F.col("text"), dataclasses.replace(on, remove_special_chars=True))) == "I can not go Mr Smith can he says".split()
+
+
+def test_words_are_counted_in_batches(spark):
+    from threadloom.functions.sentences import word_statistics, words
+
+    texts = ["A b c.\x85D e.  (F.) g\x1ch　i", None, "", " \n", 'He said "No." Then J. K. left', "b b B"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    got = {r.type: tuple(r)[1:] for r in word_statistics(df, "text").collect()}
+    assert sum(s + p for s, p, _, _ in got.values()) == sum(len(r[0]) for r in df.select(words(F.col("text"))).collect())
+    assert got["b"] == (0, 4, 3, 1) and got["c"] == (1, 0, 1, 0) and got["d"] == (0, 1, 0, 0)
+    assert got["no"] == (1, 0, 0, 1) and got["then"] == (0, 1, 0, 0) and got["k"] == (1, 0, 0, 0)
+    plan = word_statistics(df, "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan

@@ -10,13 +10,18 @@ statistics are frozen in a ``SentenceModel`` and applied text by text in built-i
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # White space as in ``text``; quotes and brackets that close and open.
 SPACE = r"\s\x1c-\x1f\x85\p{Z}"
 CLOSERS = r"""["'”’»)\]}]+$"""
+_CLOSING = "\"'”’»)]}"  # of CLOSERS
 OPENERS = r"""^["'“‘«(\[{]+"""
 
 # The Treebank convention for punctuation, in its order.  The text has single blanks,
@@ -88,18 +93,74 @@ class SentenceModel:
     starters: tuple[str, ...] = ()
 
 
+def _listed(batch: pa.RecordBatch) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts of a batch behind one another, and which of them begin a text.
+
+    Python's blanks are those of ``SPACE``.
+    """
+    split = [t.split() for t in batch.column(0).to_pylist() if t is not None]
+    first = np.zeros(sum(map(len, split)) + 1, bool)
+    first[np.cumsum([0, *map(len, split)])] = True
+    return pa.array([w for found in split for w in found], pa.string()).dictionary_encode(), first[:-1]
+
+
+def _summed(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def _raw_counts(df: DataFrame, text: str, held: int = 200_000) -> DataFrame:
+    """(word, later, after_end, n): words as they stand, whether another precedes them in the text, and whether that one ends a sentence."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        kinds, names = [pa.string(), pa.bool_(), pa.bool_(), pa.int64()], ["word", "later", "after_end", "n"]
+
+        def made() -> pa.RecordBatch:
+            return _summed([(w, k > 0, k > 1 if k else None, n) for (w, k), n in seen.items()], kinds, names)
+
+        for batch in batches:
+            listed, first = _listed(batch)
+            different, code = listed.dictionary.to_pylist(), listed.indices.to_numpy().astype(np.int64)
+            ends = np.array([w.rstrip(_CLOSING).endswith((".", "?", "!")) for w in different], bool)
+            # 0: first of its text, 1: later, 2: later and behind the end of a sentence.
+            kind = np.where(first, 0, 1 + np.append(False, ends[code[:-1]])[: len(code)])
+            cells, counts = np.unique(code * 3 + kind, return_counts=True)
+            for cell, n in zip(cells.tolist(), counts.tolist()):
+                seen[different[cell // 3], cell % 3] += n
+            if len(seen) > held:
+                yield made()
+                seen.clear()
+        yield made()
+
+    counted = df.select(F.col(text)).mapInArrow(run, "word string, later boolean, after_end boolean, n long")
+    return counted.groupBy("word", "later", "after_end").agg(F.sum("n").alias("n"))
+
+
+def _behind_stops(df: DataFrame, text: str) -> DataFrame:
+    """(before, word): the different pairs of neighbouring words of which the first has a full stop at its end."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listed, first = _listed(batch)
+            different, code = listed.dictionary.to_pylist(), listed.indices.to_numpy().astype(np.int64)
+            stops = np.array([w.rstrip(_CLOSING).endswith(".") for w in different], bool)
+            at = np.flatnonzero(stops[code[:-1]] & ~first[1:]) if len(code) else code
+            pairs = np.unique(code[at] * max(len(different), 1) + code[at + 1]) if len(at) else at
+            rows = [(different[p // len(different)], different[p % len(different)]) for p in pairs.tolist()]
+            yield _summed(rows, [pa.string()] * 2, ["before", "word"])
+
+    return df.select(F.col(text)).mapInArrow(run, "before string, word string")
+
+
 def word_statistics(df: DataFrame, text: str) -> DataFrame:
     """(type, stopped, plain, lower, upper_inside) over all texts.
 
     A type is a word in lower case without quotes, brackets and its last full
     stop.  Counted are its occurrences with and without that full stop, those
     that begin with a letter in lower case, and those in upper case behind a
-    word that ends no sentence.  Words are counted as they stand first; only
-    different ones are taken apart.
+    word that ends no sentence.  Words are counted as they stand first, in Arrow
+    batches; only different ones are taken apart.
     """
-    listed = df.select(words(F.col(text)).alias("_w"))
-    each = F.transform("_w", lambda w, i: F.struct(w.alias("word"), (i > 0).alias("later"), F.when(i > 0, _ends(F.get("_w", i - 1))).alias("after_end")))
-    raw = listed.select(F.explode(each).alias("t")).groupBy("t.word", "t.later", "t.after_end").agg(F.count("*").alias("n"))
+    raw = _raw_counts(df, text)
     word, bare = F.col("word"), _bare(F.col("word"))
     stopped = bare.rlike(r"(^|[^.])\.$")
     inside = F.col("later") & ~F.col("after_end")
@@ -136,8 +197,9 @@ def fit_sentences(df: DataFrame, text: str, least: float = 0.3, most: int = 100_
     two lists of words on the driver; more than ``most`` of either is an error,
     as texts so unlike prose have no sentences to learn.
     """
-    from ..session import cut_lineage
+    from ..session import bound_batches, cut_lineage
 
+    bound_batches(df.sparkSession)
     counted = cut_lineage(word_statistics(df, text))
     total = counted.agg(F.sum("stopped").alias("stopped"), F.sum(F.col("stopped") + F.col("plain")).alias("all")).first()
     if not total["stopped"]:
@@ -145,11 +207,8 @@ def fit_sentences(df: DataFrame, text: str, least: float = 0.3, most: int = 100_
     share = min(max(total["stopped"] / total["all"], 1e-9), 1 - 1e-9)
     likely = (F.col("stopped") > 0) & F.col("type").rlike(r"\p{L}") & (abbreviation_score(share) >= least)
     found = _bounded([r["type"] for r in counted.where(likely).select("type").limit(most + 1).collect()], most)
-    after = F.transform(
-        F.col("_w"),
-        lambda w, i: F.when((i > 0) & F.contains(F.get("_w", i - 1), F.lit(".")) & _abbreviated(F.get("_w", i - 1), found) & _upper(w), F.lower(_core(w))),
-    )
-    behind = df.select(words(F.col(text)).alias("_w")).select(F.explode(F.array_compact(after)).alias("type")).distinct()
+    follows = _abbreviated(F.col("before"), found) & _upper(F.col("word"))
+    behind = _behind_stops(df, text).where(follows).select(F.lower(_core(F.col("word"))).alias("type")).distinct()
     begins = counted.where("lower > 0 AND upper_inside = 0").join(behind, "type", "left_semi")
     starters = _bounded([r["type"] for r in begins.select("type").limit(most + 1).collect()], most)
     return SentenceModel(tuple(found), tuple(starters))
