@@ -1,6 +1,7 @@
 """The physical plans that the design relies on."""
 
 import datetime as dt
+import re
 
 import pytest
 from conftest import SF
@@ -131,3 +132,10 @@ def test_joins_are_equi_joins(spark, docs):
     ):
         text = plan(df)
         assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_words_without_a_lemma_are_not_sorted_by_text(spark, docs):
+    lemmas = spark.sql("SELECT 'words' AS word, 'word' AS lemma")
+    text = tl.lemmatize(docs, "text", lemmas, "join")._jdf.queryExecution().optimizedPlan().toString()
+    # The join takes the words as they are cut out, no aggregate stands between.
+    assert re.search(r"Join Inner[^\n]*\n(?:[^\n]*(?:Project|Filter)[^\n]*\n)*[^\n]*Generate explode", text), text

@@ -60,13 +60,13 @@ def _by_join(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
     side of the last join: adaptive execution splits a text that many rows share.
     """
     digest = F.unhex(F.sha2(F.col(column).cast("binary"), 256))
-    words = (
-        df.where(F.col(column).isNotNull())
-        .select(digest.alias("_digest"), F.explode(F.array_distinct(F.split(F.col(column), " "))).alias("word"))
-        .distinct()
+    words = df.where(F.col(column).isNotNull()).select(
+        digest.alias("_digest"), F.explode(F.array_distinct(F.split(F.col(column), " "))).alias("word")
     )
+    # Joined first: of the words of all texts, only those that have a lemma are sorted out by text.
     found = (
-        words.join(table, "word")
+        words.join(table.select(dealt_anew(table, "word").alias("word"), "lemma"), "word")
+        .distinct()
         .groupBy("_digest")
         .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
     )
