@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from threadloom.functions.text import tokens
 from threadloom.operators.search import bm25, query_terms
 from threadloom.session import drop_path
 from threadloom.sources.search_index import SearchIndex
@@ -96,3 +97,22 @@ def test_edges(spark, index):
     assert list(found(index.bm25("neural"))) == ["c"]
     with pytest.raises(ValueError):
         index.search(index.bm25("x"), "x", sort_by="best")
+
+
+def test_postings_are_made_of_whole_blocks(spark, index):
+    table = posts(spark, 300).unionByName(spark.createDataFrame([("e", None, None, 0)], SCHEMA))
+    index.update(table)
+    stored = spark.read.parquet(f"{index.root}/full-00000001/postings")
+    rows = stored.collect()
+    assert len({(r.term, r.block) for r in rows}) == len(rows)
+    words = table.select("id", tokens(F.concat_ws(" ", "title", "selftext"), index.options).alias("w")).collect()
+    counts = {(r.id, w): r.w.count(w) for r in words for w in set(r.w)}
+    lengths = {r.id: len(r.w) for r in words}
+    assert {(p.key, r.term): p.tf for r in rows for p in r.posts} == counts and sum(len(r.posts) for r in rows) == len(counts)
+    for r in rows:
+        assert r.n == len(r.posts) <= 8 and r.max_tf == max(p.tf for p in r.posts) and r.min_length == min(p.length for p in r.posts)
+        assert all(p.length == lengths[p.key] for p in r.posts)
+    written = spark.read.parquet(f"{index.root}/full-00000001/posts")
+    plan = SearchIndex._postings(written, 1)._jdf.queryExecution().optimizedPlan().toString()
+    # No row for each post and word is dealt out.
+    assert "MapInArrow" in plan and "Generate" not in plan and "Aggregate" not in plan

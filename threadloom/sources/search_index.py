@@ -3,8 +3,9 @@
 Below the root every indexed batch is one numbered folder with four tables:
 
 * ``postings``: one row per (term, block): the number of posts, the largest term
-  count, the smallest post length and the posts themselves.  A block is
-  about ``block_rows`` posts of the batch, the same posts for all terms.  Terms are
+  count, the smallest post length and the posts themselves.  A block is at most
+  ``block_rows`` posts that lie behind one another in ``posts``, the same posts for
+  all terms; one that two tasks read has a row for each part.  Terms are
   dealt to folders by a hash and sorted in each file, so that a filter on terms
   reads the folders, row groups and pages of these terms only.
 * ``posts``: key, block, length and word counts of every post of the batch.
@@ -18,16 +19,18 @@ from __future__ import annotations
 
 import datetime as dt
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.arrow import count_words, invert
 from ..functions.text import TextOptions, tokens
 from ..operators.rank import post_rank, top_rows, within
 from ..operators.search import RELEVANCE, SEARCH_ORDERS, query_terms
 from ..operators.sizing import spread
-from ..session import cut_lineage
+from ..session import bound_batches, cut_lineage
 
 _BLOCK = ["segment", "block"]
 #: Folders of a table of postings.
@@ -38,15 +41,6 @@ def _bucket(term: str) -> Column:
     return F.pmod(F.crc32(F.col(term)), F.lit(_BUCKETS)).cast("int")
 
 
-def _counts() -> list[Column]:
-    """The different words of the sorted array ``_w`` and how often each occurs, in two arrays of one order."""
-    new = F.filter(
-        F.transform("_w", lambda w, i: F.when((i == 0) | (w != F.get("_w", i - 1)), i)), lambda i: i.isNotNull()
-    )
-    bound = F.transform(F.array(new), lambda s: F.transform(s, lambda p, j: F.coalesce(F.get(s, j + 1), F.size("_w")) - p))
-    return [F.array_distinct("_w").alias("terms"), F.get(bound, F.lit(0)).alias("counts")]
-
-
 class SearchIndex:
     """The postings of one table, searched by BM25 (see ``operators.search``).
 
@@ -107,14 +101,13 @@ class SearchIndex:
         whole = whole or not before
         path = f"{self.root}/{'full' if whole else 'part'}-{number:08d}"
         rows = rows.where(F.col(self.key).isNotNull())
-        count = rows.count()
-        # Blocks follow from the key, so that all tables agree on them without a copy of the words.
-        blocks = F.lit(max(1, -(-count // self.block_rows)))
-        place = F.pmod(F.xxhash64(F.col(self.key), F.lit(7)), blocks).alias("block")
+        bound_batches(self.spark)
+        # Blocks are runs of posts as they are written: postings are made where a block lies.
+        block = F.expr(f"monotonically_increasing_id() DIV {self.block_rows}")
         text = F.concat_ws(" ", *[F.col(f) for f in self.fields])
-        words = spread(rows).select(F.col(self.key).alias("key"), place, F.sort_array(tokens(text, self.options)).alias("_w"))
+        words = spread(rows).select(F.col(self.key).alias("key"), block.alias("block"), tokens(text, self.options).alias("w"))
         # Words are cut out once: the counts of a post are kept, the postings are made from them.
-        self._write(words.select("key", "block", F.size("_w").alias("length"), *_counts()), path, "posts")
+        self._write(self._counted(words), path, "posts")
         posts = self.spark.read.parquet(f"{path}/posts")
         sized = posts.select("key", "block", "length")
         if not whole:
@@ -122,9 +115,9 @@ class SearchIndex:
         else:
             kind = rows.schema[self.key].dataType.simpleString()
             self._write(self.spark.createDataFrame([], f"key {kind}, block long, length int, of int"), path, "dead")
-        slices = -(-count // 1_000_000)
-        self._write(self._postings(posts, slices), path, "postings", "bucket")
         figures = sized.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("words"))
+        slices = -(-figures.first()["n"] // 1_000_000)
+        self._write(self._postings(posts, slices), path, "postings", "bucket")
         self._write(figures, path, "figures")
         return number
 
@@ -145,32 +138,52 @@ class SearchIndex:
     def _dead(self) -> DataFrame:
         return self._table("dead", "key string, block long, length int, of int").drop("segment")
 
+    @staticmethod
+    def _counted(words: DataFrame) -> DataFrame:
+        """(key, block, length, terms, counts): the different words of each post and how often each occurs."""
+        kind = words.schema["key"].dataType.simpleString()
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = batch.column("w")
+                columns = [batch.column("key"), batch.column("block"), found.value_lengths(), *count_words(found)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "block", "length", "terms", "counts"])
+
+        return words.mapInArrow(run, f"key {kind}, block long, length int, terms array<string>, counts array<int>")
+
     @staticmethod
     def _postings(posts: DataFrame, slices: int) -> DataFrame:
         """Postings by (term, block) from the counts of the posts.
 
-        Terms lie in buckets by their hash; in a large batch each bucket is cut into slices of blocks, so
+        They are made of whole blocks, so what is shuffled is a row for each term and block.  Terms lie in
+        buckets by their hash; in a large batch each bucket is cut into slices of blocks, so
         the most frequent term is the work of many tasks.
         """
-        each = posts.select("key", "block", "length", F.explode(F.arrays_zip("terms", "counts")).alias("c"))
-        # Count and length in one number: what is shuffled is a row for each post and word.
-        size = F.shiftleft(F.col("c.counts").cast("long"), 32).bitwiseOR(F.col("length"))
-        flat = each.select(F.col("c.terms").alias("term"), "block", "key", size.alias("size"))
-        dealt_by = {"bucket": _bucket("term")} | ({"slice": F.pmod("block", F.lit(slices))} if slices > 1 else {})
-        dealt = flat.withColumns(dealt_by).repartition(*dealt_by)
-        tf, length = F.shiftright("size", 32).cast("int"), F.col("size").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-        # What is dealt by bucket and slice is dealt by (term, block) as well.
-        return (
-            dealt.groupBy(*dealt_by, "term", "block")
-            .agg(
-                F.count("*").alias("n"),
-                F.max(tf).alias("max_tf"),
-                F.min(length).alias("min_length"),
-                F.collect_list(F.struct("key", tf.alias("tf"), length.alias("length"))).alias("posts"),
-            )
-            .drop("slice")
-            .sortWithinPartitions("bucket", "term", "block")
-        )
+        kind = posts.schema["key"].dataType.simpleString()
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []  # the posts of the block that a batch ends in
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                blocks = batch.column("block").to_numpy()
+                begin = int((blocks[::-1] != blocks[-1]).argmax())  # posts of the last block
+                begin = batch.num_rows - begin if blocks[0] != blocks[-1] else 0
+                if begin or (held and held[-1].column("block")[0].as_py() != blocks[0]):
+                    yield invert(pa.concat_batches([*held, batch.slice(0, begin)]))
+                    held = []
+                held.append(batch.slice(begin))
+            if held:
+                yield invert(pa.concat_batches(held))
+
+        schema = f"term string, block long, n long, max_tf int, min_length int, key array<{kind}>, tf array<int>, length array<int>"
+        made = posts.mapInArrow(run, schema)
+        dealt_by = {"bucket": _bucket("term")}
+        if slices > 1:
+            dealt_by["slice"] = F.pmod(F.xxhash64("block"), F.lit(slices))
+        dealt = made.withColumns(dealt_by).repartition(*dealt_by).sortWithinPartitions("bucket", "term", "block")
+        listed = F.arrays_zip("key", "tf", "length").alias("posts")
+        return dealt.select("bucket", "term", "block", "n", "max_tf", "min_length", listed)
 
     # Reading -----------------------------------------------------------------
 
