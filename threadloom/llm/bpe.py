@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import cut_lineage
 from .batches import pieces, texts
 from .files import share
 from .lexicon import Lexicon, compile_lexicon
@@ -320,7 +321,10 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = 32_768, held
             return pa.RecordBatch.from_pydict(columns, schema=pa.schema([("word", pa.string()), ("n", pa.int64())]))
 
         for piece in pieces(batches, text):
-            seen.update(w for w in splitter.words(texts(piece, text))[0] if len(w) <= 64)
+            words = splitter.words(texts(piece, text))[0]
+            if max(map(len, words), default=0) > 64:
+                words = [w for w in words if len(w) <= 64]
+            seen.update(words)
             if len(seen) > held:
                 yield made()
                 seen.clear()
@@ -328,7 +332,8 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = 32_768, held
 
     counted = docs.select(text).mapInArrow(count, "word string, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most)
-    return [r["word"] for r in top.collect()]
+    # Collected as it is, every task would send its ``most`` words to the driver.
+    return [r["word"] for r in cut_lineage(top.select("word")).collect()]
 
 
 _KINDS = {
